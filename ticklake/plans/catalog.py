@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ticklake import plans
 from ticklake.fixture import fixture_ticks
+from ticklake.session import apply_query_conf
 from ticklake.functions.bands import correlation_band, return_direction, volatility_band
 
 # Fixed parameters of the registered queries (FIXTURES.md §4).
@@ -36,6 +37,7 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
 
 def _q(fn: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        apply_query_conf(spark)
         return round_doubles(fn(fixture_ticks(spark, sf_dir)))
     run.__doc__ = fn.__doc__
     return run

@@ -16,8 +16,23 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Dynamic overwrite: a replayed micro-batch replaces only its own directories.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Constraint inference doubles its set for every alias whose expression
+    # occurs in a pushed-down filter; over derived tick frames (22 computed
+    # columns under a NULL-drop filter) planning takes seconds. Turned off.
+    "spark.sql.constraintPropagation.enabled": "false",
 }
 
+# SQL settings the query functions need in any session (safe to set at runtime).
+QUERY_CONF = {
+    "spark.sql.constraintPropagation.enabled": "false",
+}
+
+
+def apply_query_conf(spark: SparkSession) -> None:
+    for k, v in QUERY_CONF.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
+
 
 def build_session(master: str | None = None, app: str = "ticklake",
                   shuffle_partitions: int | None = None,
