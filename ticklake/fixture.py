@@ -54,3 +54,28 @@ def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fixture_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ticks_from_events(load_events(spark, sf_dir))
+
+
+def messages_from_events(events: DataFrame, corrupt: bool = True) -> DataFrame:
+    """``key, value`` feed messages made from the fixture ticks (FIXTURES.md §5).
+
+    With ``corrupt``, by ``event_id``: mod 97 cut-off JSON; mod 89 ``price``
+    ``"x"``; mod 83 ``time`` ``"never"``; mod 79 no ``time``; mod 73
+    ``sequence`` ``"abc"``; mod 101 ``type`` ``subscriptions``.
+    """
+    from ticklake.sources.sinks import to_messages
+
+    ticks = ticks_from_events(events)
+    eid = F.col("sequence")
+    if not corrupt:
+        return to_messages(ticks).select("key", "value")
+    ticks = (ticks.withColumn("type", F.when(eid % 101 == 0, F.lit("subscriptions"))
+                              .otherwise(F.col("type")))
+                  .withColumn("time", F.when(eid % 79 == 0, F.lit(None)).otherwise(F.col("time"))))
+    msgs = to_messages(ticks.withColumn("_id", eid), extra=("_id",))
+    v = F.col("value")
+    v = F.when(F.col("_id") % 89 == 0, F.regexp_replace(v, r'"price":"[^"]*"', '"price":"x"')).otherwise(v)
+    v = F.when(F.col("_id") % 83 == 0, F.regexp_replace(v, r'"time":"[^"]*"', '"time":"never"')).otherwise(v)
+    v = F.when(F.col("_id") % 73 == 0, F.regexp_replace(v, r'"sequence":[0-9]+', '"sequence":"abc"')).otherwise(v)
+    v = F.when(F.col("_id") % 97 == 0, F.substring(v, 1, (F.length(v) / 2).cast("int"))).otherwise(v)
+    return msgs.select("key", v.alias("value"))

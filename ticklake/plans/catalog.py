@@ -80,6 +80,57 @@ def analytic_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+# Subscription config used by the ING14/ING15 queries (symbols not in the
+# data on purpose, so both branches of the diff are exercised).
+WANTED = ["click", "view", "BTC-USD", "SPY"]
+
+
+def _ntz(df: DataFrame) -> DataFrame:
+    """``timestamp`` columns as ``timestamp_ntz`` (UTC session zone) for the oracle."""
+    return df.select(*[
+        F.col(f.name).cast(T.TimestampNTZType()).alias(f.name)
+        if isinstance(f.dataType, T.TimestampType) else F.col(f.name)
+        for f in df.schema.fields])
+
+
+def _events_q(fn: Callable[[SparkSession, DataFrame], DataFrame]):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        apply_query_conf(spark)
+        from ticklake.fixture import load_events
+        return round_doubles(_ntz(fn(spark, load_events(spark, sf_dir))))
+    return run
+
+
+def book_and_ingest_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from ticklake.fixture import messages_from_events, ticks_from_events
+    from ticklake.operators import book, ingest as ing
+    from ticklake.sources.sinks import to_messages
+
+    def validated(events):
+        return ing.ingest(messages_from_events(events))
+
+    return {
+        "top_of_book": _q(book.top_of_book),
+        "recent_quotes": _q(book.recent_quotes),
+        "ingest_typed": _events_q(lambda s, e: ing.good_ticks(validated(e))),
+        "dead_letter_counts": _events_q(
+            lambda s, e: ing.dead_letters(validated(e)).groupBy("key", "reason")
+            .agg(F.count(F.lit(1)).alias("n"))),
+        "ingest_metrics": _events_q(lambda s, e: ing.ingest_metrics(validated(e))),
+        "publish_messages": _events_q(lambda s, e: to_messages(ticks_from_events(e))),
+        "normalize_side": _q(lambda t: ing.normalize_side(t).groupBy("product_id", "side")
+                             .agg(F.count(F.lit(1)).alias("n"))),
+        "filter_subscribed": _events_q(
+            lambda s, e: ing.filter_subscribed(ticks_from_events(e), ing.subscriptions_frame(s, WANTED))
+            .groupBy("product_id").agg(F.count(F.lit(1)).alias("row_count"))),
+        "subscription_diff": _events_q(
+            lambda s, e: ing.subscription_diff(
+                ing.subscriptions_frame(s, WANTED),
+                plans.symbols_on_date(ticks_from_events(e), DAY))),
+    }
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = dict(analytic_queries())
+    out.update(book_and_ingest_queries())
     return out

@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -25,6 +26,7 @@ DEFAULT_CONF = {
 # SQL settings the query functions need in any session (safe to set at runtime).
 QUERY_CONF = {
     "spark.sql.constraintPropagation.enabled": "false",
+    "spark.sql.session.timeZone": "UTC",
 }
 
 
