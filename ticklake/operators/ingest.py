@@ -61,11 +61,15 @@ def decode_messages(raw: DataFrame, key: str = "key", value: str = "value") -> D
     text = F.col(value).cast("string")
     parsed = F.from_json(text, _PARSE_SCHEMA, {"mode": "PERMISSIVE",
                                                "columnNameOfCorruptRecord": _CORRUPT})
+    # ``inline`` of a one-element array turns the struct into columns in a
+    # Generate node: filters on the fields cannot be pushed below it, so the
+    # JSON is parsed exactly once per message (no copies of from_json).
     out = raw.select(F.coalesce(F.col(key).cast("string"), F.lit("")).alias("key"),
-                     text.alias("value"), parsed.alias("m"))
-    bad = text.isNull() | F.col("m").isNull() | F.col("m." + _CORRUPT).isNotNull()
-    return out.select("key", "value", *[F.col("m." + c).alias(c) for c in MESSAGE_FIELDS],
-                      bad.alias("_bad_json"))
+                     text.alias("value"),
+                     F.inline(F.array(F.coalesce(parsed, F.struct(*[
+                         F.lit(None).cast("string").alias(f.name) for f in _PARSE_SCHEMA.fields])))))
+    bad = F.col("value").isNull() | F.col(_CORRUPT).isNotNull()
+    return out.select("key", "value", *MESSAGE_FIELDS, bad.alias("_bad_json"))
 
 
 # ING6
