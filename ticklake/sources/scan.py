@@ -20,7 +20,10 @@ def scan_ticks(spark: SparkSession, root: str, file_glob: str | None = "*.parque
     reader = spark.read.schema(TICK_TABLE_SCHEMA).option("basePath", root)
     if file_glob:
         reader = reader.option("pathGlobFilter", file_glob)
-    return reader.parquet(root)
+    df = reader.parquet(root)
+    # the innermost ``batch=`` directory (stream batch / compaction stamp) is
+    # bookkeeping, not data
+    return df.drop("batch") if "batch" in df.columns else df
 
 
 def _time_bound(ticks: DataFrame, start: datetime, end: datetime):
