@@ -17,35 +17,39 @@ from pyspark.sql import functions as F
 
 
 def lag_chunked(df: DataFrame, keys: Sequence[str], chunk: Column | str,
-                order: Sequence[Column | str], values: Sequence[str],
+                order: Sequence[str], values: Sequence[str],
                 prefix: str = "prev_") -> DataFrame:
     """Add ``prefix+v`` = value of ``v`` on the previous row, for each ``v``.
 
-    ``order`` must sort rows inside a chunk; chunks are ordered by ``chunk``
-    (which must be non-decreasing along ``order``). Rows with a NULL chunk
-    form their own chunk and take no predecessor from other chunks.
+    ``order`` (column names, ascending) sorts rows inside a chunk; chunks are
+    ordered by ``chunk``, which must be non-decreasing along ``order``. Rows
+    with a NULL chunk form their own chunk and take no predecessor from
+    other chunks.
+
+    Plan: one shuffle of the rows on (keys, chunk) for the in-chunk ``lag``;
+    the last row of every chunk comes from an aggregate that combines
+    map-side, so only one row per chunk is shuffled for the fix-up, and that
+    small table is joined back on (keys, chunk).
     """
-    keys = list(keys)
+    keys, order = list(keys), list(order)
     chunk_col = F.col(chunk) if isinstance(chunk, str) else chunk
     part = keys + ["_chunk"]
-    w_in = Window.partitionBy(*part).orderBy(*order)
     marked = df.withColumn("_chunk", chunk_col)
+    w_in = Window.partitionBy(*part).orderBy(*order)
+    main = marked
     for v in values:
-        marked = marked.withColumn(prefix + v, F.lag(v).over(w_in))
-    marked = (marked
-              .withColumn("_first", F.lag(F.lit(1)).over(w_in).isNull())
-              .withColumn("_last", F.lead(F.lit(1)).over(w_in).isNull()))
+        main = main.withColumn(prefix + v, F.lag(v).over(w_in))
+    main = main.withColumn("_first", F.lag(F.lit(1)).over(w_in).isNull())
 
-    # last row of each chunk -> predecessor of the next non-empty chunk
+    last = (marked.groupBy(*part)
+            .agg(F.max_by(F.struct(*[F.col(v) for v in values]),
+                          F.struct(*[F.col(o) for o in order])).alias("_lastrow")))
     w_chunks = Window.partitionBy(*keys).orderBy("_chunk")
-    edges = marked.where(F.col("_last") & F.col("_chunk").isNotNull()).select(
-        *keys, "_chunk",
-        *[F.lag(v).over(w_chunks).alias("_edge_" + v) for v in values],
-    )
-    joined = marked.join(edges, on=part, how="left")
-    out = joined
+    edges = last.select(*part, *[F.lag(F.col("_lastrow")[v]).over(w_chunks).alias("_edge_" + v)
+                                 for v in values])
+    out = main.join(edges, on=part, how="left")
     for v in values:
         out = out.withColumn(
             prefix + v,
             F.when(F.col("_first"), F.col("_edge_" + v)).otherwise(F.col(prefix + v)))
-    return out.drop("_chunk", "_first", "_last", *["_edge_" + v for v in values])
+    return out.drop("_chunk", "_first", *["_edge_" + v for v in values])
