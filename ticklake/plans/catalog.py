@@ -130,7 +130,56 @@ def book_and_ingest_queries() -> dict[str, Callable[[SparkSession, str], DataFra
     }
 
 
+def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` of ``sf_dir`` as a file stream (one file per trigger)."""
+    from ticklake.fixture import load_events
+
+    schema = load_events(spark, sf_dir).schema
+    return (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+            .option("maxFilesPerTrigger", 1).parquet(sf_dir))
+
+
+def stream_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from ticklake.fixture import ticks_from_events
+    from ticklake.streaming.book_stream import (
+        current_recent_quotes, stream_recent_quotes, stream_top_of_book)
+    from ticklake.streaming.runner import run_to_table
+
+    def tob(spark: SparkSession, sf_dir: str) -> DataFrame:
+        apply_query_conf(spark)
+        ticks = ticks_from_events(_event_stream(spark, sf_dir))
+        path = run_to_table(spark, stream_top_of_book(ticks), "stream-top-of-book", "complete")
+        return round_doubles(spark.read.parquet(path))
+
+    def recent(spark: SparkSession, sf_dir: str) -> DataFrame:
+        apply_query_conf(spark)
+        ticks = ticks_from_events(_event_stream(spark, sf_dir))
+        path = run_to_table(spark, stream_recent_quotes(ticks), "stream-recent-quotes", "append")
+        emitted = spark.read.parquet(path).drop("batch")
+        return round_doubles(_ntz(current_recent_quotes(emitted)))
+
+    def ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from ticklake.fixture import messages_from_events
+        from ticklake.session import scratch_path
+        from ticklake.sources.scan import scan_ticks
+        from ticklake.streaming.ingest_stream import start_ingest
+
+        apply_query_conf(spark)
+        base = scratch_path(spark, "stream-ingest")
+        msgs = messages_from_events(_event_stream(spark, sf_dir))
+        q = start_ingest(msgs, f"{base}/table", f"{base}/dead", f"{base}/_checkpoint",
+                         f"{base}/metrics", available_now=True)
+        q.awaitTermination(1800)
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+        return round_doubles(_ntz(scan_ticks(spark, f"{base}/table")))
+
+    return {"stream_top_of_book": tob, "stream_recent_quotes": recent,
+            "stream_ingest": ingest_stream}
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = dict(analytic_queries())
     out.update(book_and_ingest_queries())
+    out.update(stream_queries())
     return out

@@ -87,3 +87,12 @@ def stream_recent_quotes(ticks: DataFrame, depth: int = RECENT_QUOTES) -> DataFr
     return (_quotes(ticks).groupBy("product_id")
             .applyInPandasWithState(_recent_fn(depth), RECENT_SCHEMA, _STATE_SCHEMA,
                                     "append", GroupStateTimeout.NoTimeout))
+
+
+def current_recent_quotes(emitted: DataFrame) -> DataFrame:
+    """From the appended SS2 output, the rows of each symbol's latest version."""
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("product_id")
+    return (emitted.withColumn("_v", F.max("version").over(w))
+            .where(F.col("version") == F.col("_v")).drop("_v", "version"))
