@@ -24,7 +24,10 @@ def append_ticks(ticks: DataFrame, root: str, batch: str | None = None) -> None:
     """
     out = ticks.select(*TICK_COLUMNS, "year", "month", "day")
     out = out.withColumn("batch", F.lit(batch or "b0"))
-    (out.sortWithinPartitions(*PARTITION_COLUMNS, "time", "sequence")
+    # REBALANCE: AQE groups rows by partition directory (few files per
+    # directory) and splits a hot symbol-day over several tasks and files.
+    (out.hint("rebalance", *PARTITION_COLUMNS)
+        .sortWithinPartitions(*PARTITION_COLUMNS, "time", "sequence")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*PARTITION_COLUMNS, "batch")
