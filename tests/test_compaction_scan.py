@@ -65,3 +65,16 @@ def test_scan_prunes_partitions_and_pushes_time(spark, workdir):
     r = scan_range(t, "2024-01-14", "2024-01-16")
     days = {x[0] for x in r.select("day").distinct().collect()}
     assert days <= {14, 15, 16}
+
+
+def test_interrupted_swap_rolls_forward(spark, workdir):
+    table = _table(spark, workdir)
+    before = _rows(scan_ticks(spark, table))
+    res = compact_day(spark, table, "2024-01-15", today=date(2024, 2, 1), _stop_after_move=True)
+    assert res["status"] == "interrupted"
+    # one symbol now holds both its old batches and the compacted one
+    res = compact_day(spark, table, "2024-01-15", today=date(2024, 2, 1))
+    assert res["status"] in ("compacted", "already-compact")
+    assert _rows(scan_ticks(spark, table)) == before
+    notes = [p for p in os.popen(f"find {table} -name _replaces").read().split()]
+    assert notes == []

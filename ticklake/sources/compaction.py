@@ -23,6 +23,46 @@ from ticklake.schema import PARTITION_COLUMNS, TICK_COLUMNS
 from ticklake.sources.scan import scan_ticks
 
 
+# Name of the note, inside a compacted batch directory, listing the batch
+# directories it replaces (hidden from readers by its leading underscore).
+REPLACES = "_replaces"
+
+
+def _write_text(fs, path, text: str) -> None:
+    out = fs.create(path, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def _read_text(spark: SparkSession, fs, path) -> str:
+    jvm = spark.sparkContext._jvm
+    stream = fs.open(path)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _roll_forward(spark: SparkSession, fs, day_path, jvm) -> int:
+    """Finish interrupted swaps: delete batches a compacted batch says it replaces."""
+    Path = jvm.org.apache.hadoop.fs.Path
+    removed = 0
+    for sym in fs.listStatus(day_path):
+        if not sym.isDirectory():
+            continue
+        for batch in fs.listStatus(sym.getPath()):
+            note = Path(batch.getPath(), REPLACES)
+            if batch.isDirectory() and fs.exists(note):
+                for name in filter(None, _read_text(spark, fs, note).split("\n")):
+                    victim = Path(sym.getPath(), name)
+                    if name != batch.getPath().getName() and fs.exists(victim):
+                        fs.delete(victim, True)
+                        removed += 1
+    return removed
+
+
 # SNK5
 def fragmented_partitions(spark: SparkSession, root: str, min_files: int = 2) -> DataFrame:
     """``year, month, day, product_id, files, rows`` for partitions with ``min_files``+ files.
@@ -51,8 +91,12 @@ def _day_dir(root: str, d: datetime) -> str:
 # SNK4
 def compact_day(spark: SparkSession, root: str, day: date | datetime | str,
                 today: date | None = None, rows_per_file: int = 5_000_000,
-                staging: str | None = None) -> dict:
-    """Compact every symbol of one past day; returns ``{rows, files_before, status}``."""
+                staging: str | None = None, _stop_after_move: bool = False) -> dict:
+    """Compact every symbol of one past day; returns ``{rows, files_before, status}``.
+
+    ``_stop_after_move`` simulates a crash between moving a compacted batch in
+    and deleting the batches it replaces (tests only).
+    """
     start, _ = day_bounds(day)
     if today is not None and start.date() >= today:
         return {"status": "skipped-today", "rows": 0}
@@ -60,6 +104,7 @@ def compact_day(spark: SparkSession, root: str, day: date | datetime | str,
     fs, src_path, jvm = _fs(spark, src_dir)
     if not fs.exists(src_path):
         return {"status": "missing", "rows": 0}
+    _roll_forward(spark, fs, src_path, jvm)
     day_df = (scan_ticks(spark, root)
               .where((F.col("year") == start.year) & (F.col("month") == start.month)
                      & (F.col("day") == start.day)))
@@ -92,18 +137,27 @@ def compact_day(spark: SparkSession, root: str, day: date | datetime | str,
                       & (F.col("day") == start.day)).count())
     if written != n:
         return {"status": "count-mismatch", "rows": n, "written": written}
-    # swap: drop old batch directories of each symbol, move the staged ones in
+    # swap, per symbol: note the batches being replaced in the new batch
+    # directory, move it in, then delete the old ones. A crash after the move
+    # leaves both; the next run rolls forward from the note (``_roll_forward``).
+    Path = jvm.org.apache.hadoop.fs.Path
     stage_day = _day_dir(stage_root, start)
     sfs, stage_path, _ = _fs(spark, stage_day)
     for sym_status in sfs.listStatus(stage_path):
         sym_name = sym_status.getPath().getName()
-        dst_sym = jvm.org.apache.hadoop.fs.Path(src_path, sym_name)
-        if fs.exists(dst_sym):
-            for old in fs.listStatus(dst_sym):
-                fs.delete(old.getPath(), True)
-        else:
+        dst_sym = Path(src_path, sym_name)
+        old = [st.getPath() for st in fs.listStatus(dst_sym)] if fs.exists(dst_sym) else []
+        if not old:
             fs.mkdirs(dst_sym)
         for staged_batch in sfs.listStatus(sym_status.getPath()):
-            fs.rename(staged_batch.getPath(), jvm.org.apache.hadoop.fs.Path(dst_sym, staged_batch.getPath().getName()))
+            _write_text(fs, Path(staged_batch.getPath(), REPLACES),
+                        "\n".join(o.getName() for o in old))
+            fs.rename(staged_batch.getPath(), Path(dst_sym, staged_batch.getPath().getName()))
+        if _stop_after_move:
+            return {"status": "interrupted", "rows": n}
+        for o in old:
+            fs.delete(o, True)
+        for new_batch in fs.listStatus(dst_sym):
+            fs.delete(Path(new_batch.getPath(), REPLACES), False)
     fs.delete(jvm.org.apache.hadoop.fs.Path(stage_root), True)
     return {"status": "compacted", "rows": n, "files_before": files_before, "batch": stamp}
