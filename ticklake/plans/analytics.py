@@ -7,7 +7,7 @@ stands in for "now" so results are reproducible.
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 from typing import Iterable
 
 from pyspark.sql import DataFrame, Window
@@ -25,7 +25,7 @@ DayArg = date | datetime | str | tuple
 
 
 def _now() -> datetime:
-    return datetime.utcnow().replace(tzinfo=None)
+    return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
 def tick_slice(ticks: DataFrame, day: DayArg, symbols=None) -> DataFrame:

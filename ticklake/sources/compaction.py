@@ -13,7 +13,7 @@ never touched.
 from __future__ import annotations
 
 import math
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,15 +65,17 @@ def _roll_forward(spark: SparkSession, fs, day_path, jvm) -> int:
 
 # SNK5
 def fragmented_partitions(spark: SparkSession, root: str, min_files: int = 2) -> DataFrame:
-    """``year, month, day, product_id, files, rows`` for partitions with ``min_files``+ files.
+    """``year, month, day, product_id, files, bytes`` for partitions with ``min_files``+ files.
 
-    Counted from the ``_metadata.file_path`` of the scan, so the work is
-    distributed over the files rather than listed on the driver.
+    Lists files with the ``binaryFile`` source selecting only ``path`` and
+    ``length`` (file contents are never read), so no Parquet row is touched
+    and the count is a distributed aggregate over the file list.
     """
-    t = spark.read.option("basePath", root).parquet(root)
-    return (t.select(*PARTITION_COLUMNS, F.col("_metadata.file_path").alias("file"))
+    files = (spark.read.format("binaryFile").option("basePath", root)
+             .option("pathGlobFilter", "*.parquet").load(root))
+    return (files.select(*PARTITION_COLUMNS, "path", "length")
             .groupBy(*PARTITION_COLUMNS)
-            .agg(F.countDistinct("file").alias("files"), F.count(F.lit(1)).alias("rows"))
+            .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
             .where(F.col("files") >= min_files))
 
 
@@ -124,7 +126,7 @@ def compact_day(spark: SparkSession, root: str, day: date | datetime | str,
     if stats["max_batches"] == 1 and stats["compacted"] == 1:
         return {"status": "already-compact", "rows": n, "files_before": files_before}
     n_parts = max(1, math.ceil(n / rows_per_file))
-    stamp = "c" + datetime.utcnow().strftime("%Y%m%d%H%M%S%f")
+    stamp = "c" + datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S%f")
     stage_root = staging or f"{root.rstrip('/')}/_staging/{stamp}"
     out = (day_df.select(*TICK_COLUMNS, "year", "month", "day")
            .repartitionByRange(n_parts, *PARTITION_COLUMNS, "time", "sequence")
