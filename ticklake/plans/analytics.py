@@ -18,6 +18,7 @@ from ticklake.functions.params import (
 )
 from ticklake.functions.timecols import type_of
 from ticklake.operators.bars import last_price_bars, log_returns
+from ticklake.operators.quantiles import exact_quantiles, long_values
 from ticklake.schema import INTEGER_COLUMNS, NUMERIC_COLUMNS, TICK_COLUMNS
 from ticklake.sources.scan import scan_day, scan_range
 
@@ -182,26 +183,25 @@ def describe_ticks(ticks: DataFrame, day: DayArg, symbols=None,
                    accuracy: int = 100000) -> DataFrame:
     """Per symbol and numeric column: count, mean, std, min, quartiles, max.
 
-    One aggregation pass for all columns. ``exact`` quartiles interpolate
-    linearly between order statistics (``percentile``); ``exact=False`` uses
-    ``percentile_approx`` (bounded memory for very large slices).
+    Moments come from one aggregation (combined map-side). ``exact``
+    quartiles interpolate linearly between order statistics like pandas,
+    computed by ``operators.quantiles.exact_quantiles`` (no group or column
+    is ever held by a single task); ``exact=False`` uses
+    ``percentile_approx`` instead.
     """
     cols = list(columns)
     df = day_extract(ticks, day, symbols)
-    aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        q = (F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))) if exact
-             else F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy))
-        aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
-                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
-                 q.alias(f"{c}__q"), F.max(x).alias(f"{c}__max")]
-    wide = df.groupBy("product_id").agg(*aggs)
-    rows = F.array(*[
-        F.struct(F.lit(c).alias("column"),
-                 F.col(f"{c}__count").alias("count"), F.col(f"{c}__mean").alias("mean"),
-                 F.col(f"{c}__std").alias("std"), F.col(f"{c}__min").alias("min"),
-                 F.col(f"{c}__q")[0].alias("p25"), F.col(f"{c}__q")[1].alias("p50"),
-                 F.col(f"{c}__q")[2].alias("p75"), F.col(f"{c}__max").alias("max"))
-        for c in cols])
-    return wide.select("product_id", F.inline(rows))
+    long = long_values(df, ["product_id"], cols)
+    moments = (long.groupBy("product_id", "column")
+               .agg(F.count("value").alias("count"), F.avg("value").alias("mean"),
+                    F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
+                    F.max("value").alias("max")))
+    if exact:
+        q = exact_quantiles(df, ["product_id"], cols, [0.25, 0.5, 0.75], names=["p25", "p50", "p75"])
+    else:
+        pa = F.percentile_approx("value", [0.25, 0.5, 0.75], accuracy)
+        q = (long.groupBy("product_id", "column").agg(pa.alias("_q"))
+             .select("product_id", "column", F.col("_q")[0].alias("p25"),
+                     F.col("_q")[1].alias("p50"), F.col("_q")[2].alias("p75")))
+    return (moments.join(q, ["product_id", "column"])
+            .select("product_id", "column", "count", "mean", "std", "min", "p25", "p50", "p75", "max"))
