@@ -50,3 +50,23 @@ def test_bands(spark):
                    "typically opposite", "perfect opposites"]
     df = spark.createDataFrame([(0.1,), (-0.1,), (0.0,)], "r double")
     assert [r[0] for r in df.select(return_direction("r")).collect()] == ["up", "down", "flat"]
+
+
+# The reference's test subscription list and its default configuration.
+TEST_TICKERS = ["BTC-USD", "SPY", "SOL-USD", "QQQ", "IWM"]
+DEFAULT_TICKERS = ["SOL-USD", "BTC-USD", "XRP-USD", "USDT-USD", "DOGE-USD", "ETH-USD", "AERO-USD"]
+
+
+def test_subscriptions_like_the_reference(spark):
+    wanted = ing.subscriptions_frame(spark, TEST_TICKERS)
+    assert sorted(r[0] for r in wanted.collect()) == sorted(TEST_TICKERS)
+    active = ing.subscriptions_frame(spark, DEFAULT_TICKERS)
+    diff = {(r["product_id"], r["action"]) for r in ing.subscription_diff(wanted, active).collect()}
+    assert diff == ({(s, "add") for s in ("SPY", "QQQ", "IWM")}
+                    | {(s, "remove") for s in ("XRP-USD", "USDT-USD", "DOGE-USD", "ETH-USD", "AERO-USD")})
+    t = make_ticks(spark, [{"product_id": s, "price": 1.0, "time": "2024-01-15 10:00:00"}
+                           for s in TEST_TICKERS + ["ETH-USD"]])
+    kept = {r[0] for r in ing.filter_subscribed(t, DEFAULT_TICKERS).select("product_id").collect()}
+    assert kept == {"BTC-USD", "SOL-USD", "ETH-USD"}
+    kept_df = {r[0] for r in ing.filter_subscribed(t, wanted).select("product_id").collect()}
+    assert kept_df == set(TEST_TICKERS)
