@@ -5,7 +5,6 @@ from datetime import datetime
 import pytest
 
 from ticklake import plans
-from ticklake.fixture import messages_from_events  # noqa: F401
 from ticklake.operators import book
 from ticklake.operators.ingest import good_ticks, ingest
 from tests.ticks import make_ticks

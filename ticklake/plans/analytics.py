@@ -19,7 +19,7 @@ from ticklake.functions.params import (
 from ticklake.functions.timecols import type_of
 from ticklake.operators.bars import last_price_bars, log_returns
 from ticklake.operators.quantiles import exact_quantiles, long_values
-from ticklake.schema import INTEGER_COLUMNS, NUMERIC_COLUMNS, TICK_COLUMNS
+from ticklake.schema import NUMERIC_COLUMNS, TICK_COLUMNS
 from ticklake.sources.scan import scan_day, scan_range
 
 DayArg = date | datetime | str | tuple

@@ -54,16 +54,24 @@ def _recent_fn(depth: int):
     keep = depth + 1
 
     def update(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        new = pd.concat(list(batches), ignore_index=True)[_Q + ["time", "sequence"]]
+        cols = _Q + ["time", "sequence"]
         version = 0
+        top = None
         if state.exists:
             st = state.get
-            old = pd.DataFrame({c: list(st[i]) for i, c in enumerate(_Q + ["time", "sequence"])})
-            old["time"] = pd.to_datetime(old["time"])
-            version = int(st[len(_Q) + 2])
-            new = pd.concat([old, new], ignore_index=True)
-        new["time"] = pd.to_datetime(new["time"])
-        top = new.sort_values(["time", "sequence"], ascending=False, kind="mergesort").head(keep)
+            top = pd.DataFrame({c: list(st[i]) for i, c in enumerate(cols)})
+            top["time"] = pd.to_datetime(top["time"])
+            version = int(st[len(cols)])
+        # fold the Arrow batches one at a time: memory stays at one batch
+        # plus ``keep`` rows, however many ticks the symbol has
+        for chunk in batches:
+            chunk = chunk[cols].copy()
+            chunk["time"] = pd.to_datetime(chunk["time"])
+            merged = chunk if top is None else pd.concat([top, chunk], ignore_index=True)
+            top = merged.sort_values(["time", "sequence"], ascending=False, kind="mergesort").head(keep)
+        if top is None:
+            return
+        top = top.reset_index(drop=True)
         version += 1
         state.update(tuple([[float(x) if pd.notna(x) else None for x in top[c]] for c in _Q]
                            + [list(top["time"].dt.to_pydatetime()), [int(x) for x in top["sequence"]],
