@@ -23,6 +23,22 @@ DEFAULT_CONF = {
     "spark.sql.constraintPropagation.enabled": "false",
 }
 
+# Settings for a large cluster (100 TB of ticks, ~1000 executors). Shuffle
+# partitions start high and AQE coalesces them to ~256 MB; a skewed shuffle
+# partition (a hot symbol-day) is split by the skew-join rule; file splits of
+# 256 MB keep scan tasks in memory; RocksDB keeps streaming state off-heap.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
 # SQL settings the query functions need in any session (safe to set at runtime).
 QUERY_CONF = {
     "spark.sql.constraintPropagation.enabled": "false",
@@ -38,12 +54,17 @@ def apply_query_conf(spark: SparkSession) -> None:
 
 def build_session(master: str | None = None, app: str = "ticklake",
                   shuffle_partitions: int | None = None,
-                  extra: dict[str, str] | None = None) -> SparkSession:
-    """Session with the defaults above; ``master`` only for local runs."""
+                  extra: dict[str, str] | None = None, cluster: bool = False) -> SparkSession:
+    """Session with the defaults above; ``master`` only for local runs.
+
+    ``cluster=True`` adds ``CLUSTER_CONF`` (sizing for a large cluster).
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if cluster:
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
