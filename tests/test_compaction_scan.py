@@ -78,3 +78,17 @@ def test_interrupted_swap_rolls_forward(spark, workdir):
     assert _rows(scan_ticks(spark, table)) == before
     notes = [p for p in os.popen(f"find {table} -name _replaces").read().split()]
     assert notes == []
+
+
+def test_compact_table_skips_today(spark, workdir):
+    from ticklake.sources.compaction import compact_table
+
+    table = _table(spark, workdir, batches=2)
+    before = _rows(scan_ticks(spark, table))
+    res = compact_table(spark, table, today=date(2024, 1, 20))
+    status = {r["day"]: r["status"] for r in res}
+    assert status["2024-01-05"] == "compacted"
+    assert status["2024-01-20"] == "skipped-today" and status.get("2024-01-25") == "skipped-today"
+    assert _rows(scan_ticks(spark, table)) == before
+    left = {r[0] for r in fragmented_partitions(spark, table).select("day").distinct().collect()}
+    assert left <= set(range(20, 32))

@@ -163,3 +163,21 @@ def compact_day(spark: SparkSession, root: str, day: date | datetime | str,
             fs.delete(Path(new_batch.getPath(), REPLACES), False)
     fs.delete(jvm.org.apache.hadoop.fs.Path(stage_root), True)
     return {"status": "compacted", "rows": n, "files_before": files_before, "batch": stamp}
+
+
+def compact_table(spark: SparkSession, root: str, today: date,
+                  rows_per_file: int = 5_000_000) -> list[dict]:
+    """SNK4 driver loop: compact every past day that has a fragmented partition.
+
+    The day list comes from ``fragmented_partitions`` (a file-listing
+    aggregate, one row per day reaches the driver); each day is one job.
+    """
+    days = (fragmented_partitions(spark, root)
+            .select("year", "month", "day").distinct()
+            .orderBy("year", "month", "day").collect())
+    out = []
+    for r in days:
+        d = date(int(r["year"]), int(r["month"]), int(r["day"]))
+        res = compact_day(spark, root, d, today=today, rows_per_file=rows_per_file)
+        out.append({"day": d.isoformat(), **res})
+    return out
