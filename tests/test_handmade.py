@@ -144,3 +144,12 @@ def test_latest_prices_limit_and_order(spark):
     t = make_ticks(spark, data)
     r = rows(plans.latest_prices(t, "A", 3, datetime(2024, 1, 15, 12)))
     assert sorted(x["price"] for x in r) == [17.0, 18.0, 19.0]
+
+
+def test_non_object_json_is_bad_json(spark):
+    from ticklake.operators.ingest import dead_letters
+
+    raw = spark.createDataFrame([("A", "[1,2]"), ("A", "42"), ("A", None), ("A", '{"type":"ticker"')],
+                                "key string, value string")
+    reasons = sorted(r["reason"] for r in dead_letters(ingest(raw)).collect())
+    assert reasons == ["bad_json"] * 4

@@ -67,7 +67,10 @@ def decode_messages(raw: DataFrame, key: str = "key", value: str = "value") -> D
     out = raw.select(F.coalesce(F.col(key).cast("string"), F.lit("")).alias("key"),
                      text.alias("value"),
                      F.inline(F.array(F.coalesce(parsed, F.struct(*[
-                         F.lit(None).cast("string").alias(f.name) for f in _PARSE_SCHEMA.fields])))))
+                         # not a JSON object (or no value): all fields NULL,
+                         # the text kept as the corrupt record
+                         (F.coalesce(text, F.lit("")) if f.name == _CORRUPT else F.lit(None).cast("string"))
+                         .alias(f.name) for f in _PARSE_SCHEMA.fields])))))
     bad = F.col("value").isNull() | F.col(_CORRUPT).isNotNull()
     return out.select("key", "value", *MESSAGE_FIELDS, bad.alias("_bad_json"))
 
