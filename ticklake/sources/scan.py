@@ -57,3 +57,47 @@ def scan_range(ticks: DataFrame, first_day, last_day, symbols=None) -> DataFrame
     last = day_bounds(last_day)[0]
     hi = last.year * 10000 + last.month * 100 + last.day
     return ticks.where(key.between(lo, hi) & _time_bound(ticks, start, end) & symbols_predicate(syms))
+
+
+def _foreign_schema():
+    from pyspark.sql import types as T
+
+    from ticklake.schema import TICK_SCHEMA
+
+    fields = []
+    for f in TICK_SCHEMA.fields:
+        if f.name == "time":
+            fields.append(T.StructField("time", T.LongType()))  # nanoseconds since epoch
+        elif f.name == "recieved":
+            fields.append(T.StructField("Recieved", T.TimestampNTZType()))
+        else:
+            fields.append(f)
+    return T.StructType(fields + [T.StructField("year", T.IntegerType()),
+                                  T.StructField("month", T.IntegerType()),
+                                  T.StructField("day", T.IntegerType())])
+
+
+def scan_foreign_ticks(spark: SparkSession, root: str,
+                       file_glob: str = "*.snappy.parquet") -> DataFrame:
+    """Existing tick files in the older layout: ``year=/month=/day=/<SYMBOL>/``.
+
+    The symbol directory there is not a Hive key (``product_id`` comes from
+    the file body), zero-padded ``month``/``day`` parse as integers, and
+    ``time`` is stored in nanoseconds, which Spark's Parquet reader only
+    accepts as a long (``nanosAsLong``); it is turned into a ``timestamp``
+    here. The result has the same columns as ``scan_ticks``.
+    """
+    from ticklake.schema import TICK_COLUMNS
+
+    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+    raw = (spark.read.schema(_foreign_schema()).option("basePath", root)
+           .option("pathGlobFilter", file_glob).parquet(root))
+    cols = []
+    for c in TICK_COLUMNS:
+        if c == "time":
+            cols.append(F.timestamp_micros(F.floor(F.col("time") / 1000)).alias("time"))
+        elif c == "recieved":
+            cols.append(F.col("Recieved").alias("recieved"))
+        else:
+            cols.append(F.col(c))
+    return raw.select(*cols, "year", "month", "day")
