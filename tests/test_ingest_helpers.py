@@ -70,3 +70,22 @@ def test_subscriptions_like_the_reference(spark):
     assert kept == {"BTC-USD", "SOL-USD", "ETH-USD"}
     kept_df = {r[0] for r in ing.filter_subscribed(t, wanted).select("product_id").collect()}
     assert kept_df == set(TEST_TICKERS)
+
+
+def test_filter_subscribed_on_a_stream(spark, workdir):
+    import os
+
+    from ticklake.fixture import load_events, messages_from_events
+    from ticklake.sources.stream import read_tick_stream
+    from tests.conftest import SF_SMALL
+
+    src = os.path.join(workdir, "in")
+    messages_from_events(load_events(spark, SF_SMALL), corrupt=False).select("value").write.text(src)
+    subs = ing.subscriptions_frame(spark, ["click", "view"])
+    stream = ing.filter_subscribed(ing.good_ticks(ing.ingest(read_tick_stream(spark, path=src))), subs)
+    q = (stream.groupBy("product_id").count().writeStream.outputMode("complete").format("memory")
+         .queryName("subs_test").trigger(availableNow=True)
+         .option("checkpointLocation", os.path.join(workdir, "c")).start())
+    q.awaitTermination(300)
+    got = {r["product_id"] for r in spark.table("subs_test").collect()}
+    assert got == {"click", "view"}

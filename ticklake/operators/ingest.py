@@ -176,16 +176,25 @@ def stamp_consumed_stored(df: DataFrame) -> DataFrame:
 
 
 # ING14
+# Largest subscription set that is broadcast (rows); above it a shuffle join.
+MAX_BROADCAST_SUBSCRIPTIONS = 1_000_000
+
+
 def filter_subscribed(ticks: DataFrame, subscriptions) -> DataFrame:
     """Only subscribed symbols.
 
     A list of symbols becomes an ``IN`` predicate (pushed to the scan and to
-    partition pruning, no join). A DataFrame of ``product_id`` is a left-semi
-    join, left to AQE to broadcast when its measured size is small.
+    partition pruning, no join). A DataFrame of ``product_id`` (static) is a
+    left-semi join; it is broadcast only after counting it below
+    ``MAX_BROADCAST_SUBSCRIPTIONS`` (streaming micro-batches get no AQE), else
+    both sides shuffle on ``product_id``.
     """
     if isinstance(subscriptions, (list, tuple, set, frozenset)):
         return ticks.where(F.col("product_id").isin(sorted(subscriptions)))
-    return ticks.join(subscriptions.select("product_id").distinct(), "product_id", "left_semi")
+    subs = subscriptions.select("product_id").distinct()
+    if subs.count() <= MAX_BROADCAST_SUBSCRIPTIONS:
+        subs = F.broadcast(subs)
+    return ticks.join(subs, "product_id", "left_semi")
 
 
 def subscriptions_frame(spark: SparkSession, symbols: Iterable[str]) -> DataFrame:
