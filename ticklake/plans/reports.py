@@ -18,6 +18,8 @@ from ticklake.plans.analytics import DESCRIBE_COLUMNS, DayArg, day_extract
 from ticklake.schema import LEVEL_NAMES_ABOVE_NORMAL, VOLATILITY_LEVELS, ZERO_GAP
 
 MEAN_COLUMNS = DESCRIBE_COLUMNS
+# A symbol-day: the partition keys of the tick table.
+SYMBOL_DAY = ["product_id", "year", "month", "day"]
 
 
 # Q12
@@ -85,10 +87,10 @@ def sequence_gaps(ticks: DataFrame, day: DayArg, symbols=None,
     ``log_ordering = ln(ordering)``. The lag runs per (symbol, day,
     sequence // chunk_width) so no symbol is a single task.
     """
-    clean = day_extract(ticks, day, symbols).withColumn("trade_date", F.to_date("time"))
+    clean = day_extract(ticks, day, symbols)
     chunk = F.floor(F.col("sequence") / F.lit(chunk_width))
-    prev = lag_chunked(clean, ["product_id", "trade_date"], chunk,
-                       ["sequence", "time", "trade_id"], ["sequence"], prefix="_prev_")
+    prev = lag_chunked(clean, SYMBOL_DAY, chunk, ["sequence", "time", "trade_id"], ["sequence"],
+                       prefix="_prev_")
     gap = (F.col("sequence") - F.col("_prev_sequence")).cast("double")
     ordering = F.when(gap == 0, F.lit(ZERO_GAP)).otherwise(gap)
     return (prev.withColumn("ordering", ordering)
@@ -98,9 +100,9 @@ def sequence_gaps(ticks: DataFrame, day: DayArg, symbols=None,
 
 # Q17
 def mean_gap(ticks: DataFrame, day: DayArg, symbols=None) -> DataFrame:
-    """``product_id, trade_date, mean_ordering``: mean gap per symbol-day."""
+    """``product_id, year, month, day, mean_ordering``: mean gap per symbol-day."""
     return (sequence_gaps(ticks, day, symbols)
-            .groupBy("product_id", "trade_date")
+            .groupBy(*SYMBOL_DAY)
             .agg(F.avg("ordering").alias("mean_ordering")))
 
 
