@@ -5,9 +5,10 @@ Fragments are the per-batch files a stream leaves in
 day in one Spark job (all symbols at once): rows are range-partitioned by
 (symbol, time) into files of at most ``rows_per_file`` rows, so a hot symbol
 is split over several tasks and files instead of one. The new files are
-written to a staging folder, the row count is checked, and only then are
-the old batch directories deleted and the staged ones moved in. Today is
-never touched.
+written to a staging folder and the row count is checked. Then, per symbol,
+the staged batch directory is moved in (carrying a note of the batches it
+replaces) and the old ones are deleted; an interrupted swap is finished by
+the next run from that note. Today is never touched.
 """
 
 from __future__ import annotations
