@@ -153,3 +153,19 @@ def test_non_object_json_is_bad_json(spark):
                                 "key string, value string")
     reasons = sorted(r["reason"] for r in dead_letters(ingest(raw)).collect())
     assert reasons == ["bad_json"] * 4
+
+
+def test_dense_minutes_on_stored_time_type(spark):
+    base = {"product_id": "A", "side": "buy", "recieved": datetime(2024, 1, 15, 10)}
+    t = make_ticks(spark, [
+        {**base, "price": 1.0, "time": "2024-01-15 10:00:10", "sequence": 1, "trade_id": 1},
+        {**base, "price": 2.0, "time": "2024-01-15 10:00:40", "sequence": 2, "trade_id": 2},
+        {**base, "price": 4.0, "time": "2024-01-15 10:03:05", "sequence": 5, "trade_id": 3},
+    ]).fillna(1.0)
+    dense = plans.resample_mean(t, DAY, dense=True).orderBy("bucket").collect()
+    assert [r["bucket"].minute for r in dense] == [0, 1, 2, 3]
+    assert [r["price"] for r in dense] == [1.5, None, None, 4.0]
+    sparse = plans.resample_mean(t, DAY).collect()
+    assert len(sparse) == 2
+    gaps = plans.gap_series(t, DAY).orderBy("bucket").collect()
+    assert [r["ordering"] for r in gaps] == [1.0, None, None, 3.0]
