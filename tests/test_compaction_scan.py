@@ -92,3 +92,16 @@ def test_compact_table_skips_today(spark, workdir):
     assert _rows(scan_ticks(spark, table)) == before
     left = {r[0] for r in fragmented_partitions(spark, table).select("day").distinct().collect()}
     assert left <= set(range(20, 32))
+
+
+def test_plain_appends_accumulate(spark, workdir):
+    from ticklake.fixture import fixture_ticks
+    from ticklake.sources.sinks import append_ticks
+
+    t = fixture_ticks(spark, SF_SMALL).where("day = 3")
+    root = os.path.join(workdir, "plain")
+    append_ticks(t, root)
+    append_ticks(t, root)
+    back = scan_ticks(spark, root)
+    assert back.count() == 2 * t.count()
+    assert back.where("time IS NULL").count() == 0

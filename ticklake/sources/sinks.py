@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,11 +22,14 @@ def append_ticks(ticks: DataFrame, root: str, batch: str | None = None) -> None:
     ``batch`` names the innermost directory (a stream's batch id, or a
     compaction stamp). With dynamic partition overwrite, writing the same
     ``batch`` again replaces exactly its own directories, so a replayed
-    micro-batch does not duplicate rows. Rows are sorted by time within each
+    micro-batch does not duplicate rows. Without a name, a unique one is
+    made, so plain appends never replace each other. Rows are sorted by time within each
     file so Parquet min/max statistics prune time ranges.
     """
     out = ticks.select(*TICK_COLUMNS, "year", "month", "day")
-    out = out.withColumn("batch", F.lit(batch or "b0"))
+    if not batch:
+        batch = "a" + datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S%f") + os.urandom(3).hex()
+    out = out.withColumn("batch", F.lit(batch))
     # REBALANCE: AQE groups rows by partition directory (few files per
     # directory) and splits a hot symbol-day over several tasks and files.
     (out.hint("rebalance", *PARTITION_COLUMNS)
