@@ -87,9 +87,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    # unset (local runs only): a private folder on the SparkContext; the core
+    # setting itself is not changed at runtime
     local = tempfile.mkdtemp(prefix="ticklake-ckpt-")
     sc.setCheckpointDir(local)
-    spark.conf.set("spark.checkpoint.dir", local)
     return sc.getCheckpointDir() or local
 
 
