@@ -81,8 +81,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     On a cluster this must be set (shared storage). Only when it is unset, as
     in local tests, a private folder is created and registered.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        sc = None
+    if sc is None:
+        return conf_dir or tempfile.mkdtemp(prefix="ticklake-ckpt-")
+    current = sc.getCheckpointDir() or conf_dir
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
