@@ -5,7 +5,8 @@ buffer, so a group holding a third of the rows (or a column of unique values
 such as ``sequence``) ends in one task. Here:
 
 1. values are counted per (group, column, value), combined map-side;
-2. each group's value range is cut into ``chunks`` equal-width chunks; a
+2. each group's value range is cut into equal-width chunks (their number
+   grows with the group's size, about ``values_per_chunk`` values each); a
    running count per (group, column, chunk) plus the counts of all earlier
    chunks (a small per-chunk table) gives every distinct value its rank span
    ``[start, start + count)``;
@@ -31,9 +32,15 @@ def long_values(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> D
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
-                    probs: Sequence[float], chunks: int = 1024,
-                    names: Sequence[str] | None = None) -> DataFrame:
-    """``keys..., column, <name per prob>``: exact linear-interpolated quantiles."""
+                    probs: Sequence[float], chunks: int | None = None,
+                    names: Sequence[str] | None = None, values_per_chunk: int = 1_000_000,
+                    max_chunks: int = 1 << 20) -> DataFrame:
+    """``keys..., column, <name per prob>``: exact linear-interpolated quantiles.
+
+    Each group's range is cut into ``ceil(n / values_per_chunk)`` chunks
+    (at most ``max_chunks``), so a chunk holds about ``values_per_chunk``
+    values whatever the group's size; ``chunks`` fixes the count instead.
+    """
     keys = list(keys)
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
     g = keys + ["column"]
@@ -41,9 +48,14 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
               .groupBy(*g, "value").agg(F.count(F.lit(1)).alias("c")))
     stats = counts.groupBy(*g).agg(F.sum("c").alias("n"), F.min("value").alias("_lo"),
                                    F.max("value").alias("_hi"))
-    width = (F.col("_hi") - F.col("_lo")) / F.lit(float(chunks))
+    if chunks:
+        k = F.lit(int(chunks))
+    else:
+        k = F.least(F.greatest(F.ceil(F.col("n") / F.lit(values_per_chunk)), F.lit(1)),
+                    F.lit(max_chunks))
+    width = (F.col("_hi") - F.col("_lo")) / k.cast("double")
     chunk = F.when(width > 0, F.least(F.floor((F.col("value") - F.col("_lo")) / width),
-                                      F.lit(chunks - 1))).otherwise(F.lit(0)).cast("long")
+                                      k - 1)).otherwise(F.lit(0)).cast("long")
     vc = counts.join(stats, g).withColumn("_chunk", chunk)
 
     in_chunk = Window.partitionBy(*g, "_chunk").orderBy("value").rowsBetween(
