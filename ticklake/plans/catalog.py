@@ -47,9 +47,13 @@ def analytic_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "high_low_1h": _q(lambda t: plans.high_low(t, SYMBOLS, "1h", AS_OF)),
         "high_low_day": _q(lambda t: plans.high_low(t, "click", "day", AS_OF)),
+        "high_low_5m": _q(lambda t: plans.high_low(t, SYMBOLS, "5m", AS_OF)),
+        "high_low_2w": _q(lambda t: plans.high_low(t, SYMBOLS, "2w", AS_OF)),
         "latest_prices": _q(lambda t: plans.latest_prices(t, SYMBOLS, 10, AS_OF)),
+        "latest_prices_3": _q(lambda t: plans.latest_prices(t, SYMBOLS, 3, AS_OF)),
         "quickvwap": _q(lambda t: plans.quickvwap(t, DAY)),
         "vwap_30m": _q(lambda t: plans.vwap(t, SYMBOLS, "30m", AS_OF)),
+        "vwap_15m": _q(lambda t: plans.vwap(t, SYMBOLS, "15m", AS_OF)),
         "vwap_day": _q(lambda t: plans.vwap(t, "error", "day", AS_OF)),
         "returns_day": _q(lambda t: plans.returns(t, None, DAY)),
         "returns_month": _q(lambda t: plans.returns(t, None, MONTH)),
