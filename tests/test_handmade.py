@@ -169,3 +169,18 @@ def test_dense_minutes_on_stored_time_type(spark):
     assert len(sparse) == 2
     gaps = plans.gap_series(t, DAY).orderBy("bucket").collect()
     assert [r["ordering"] for r in gaps] == [1.0, None, None, 3.0]
+
+
+def test_volatility_level_thresholds(spark):
+    # minute means of last_size 10, 10, 10, 10, 20: sigma = sqrt(20) = 4.47; the last delta
+    # (10) lies in (2 sigma, 3 sigma] -> VERY_HIGH; the first minute has no delta -> NORMAL
+    base = {"product_id": "A", "side": "buy", "recieved": datetime(2024, 1, 15, 10)}
+    sizes = [10.0, 10.0, 10.0, 10.0, 20.0]
+    t = make_ticks(spark, [{**base, "price": 1.0, "last_size": s, "time": f"2024-01-15 10:0{m}:30",
+                            "sequence": m + 1, "trade_id": m + 1} for m, s in enumerate(sizes)]).fillna(1.0)
+    lv = [(r["level"], r["volatility_level"]) for r in plans.volatility_levels(t, DAY).orderBy("bucket").collect()]
+    assert lv == [(1, "NORMAL")] * 4 + [(3, "VERY_HIGH")]
+    ev = plans.volatility_events(t, DAY).collect()
+    assert len(ev) == 1 and ev[0]["volatility_level"] == "VERY_HIGH"
+    ct = plans.volatility_crosstab(t, DAY).collect()[0]
+    assert (ct["HIGH"], ct["VERY_HIGH"], ct["EXTREME"]) == (0, 1, 0)
