@@ -89,3 +89,16 @@ def test_filter_subscribed_on_a_stream(spark, workdir):
     q.awaitTermination(300)
     got = {r["product_id"] for r in spark.table("subs_test").collect()}
     assert got == {"click", "view"}
+
+
+def test_binary_key_value_like_kafka(spark):
+    from pyspark.sql import types as T
+
+    msg = ('{"type":"ticker","sequence":3,"product_id":"A","price":"2.5","time":"2024-01-15T10:00:00Z",'
+           '"trade_id":3,"Recieved":"15-01-2024 10:00:00.000001"}').encode()
+    schema = T.StructType([T.StructField("key", T.BinaryType()), T.StructField("value", T.BinaryType())])
+    raw = spark.createDataFrame([(b"A", bytearray(msg)), (None, bytearray(msg))], schema)
+    v = ing.ingest(raw)
+    assert sorted(r["key"] for r in v.collect()) == ["", "A"]
+    good = ing.good_ticks(v).collect()
+    assert len(good) == 2 and all(r["price"] == 2.5 and r["sequence"] == 3 for r in good)
