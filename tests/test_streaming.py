@@ -95,3 +95,21 @@ def test_stream_book_matches_batch(spark, workdir):
                  for r in out if r["version"] == last[r["product_id"]])
     exp = sorted(tuple(r) for r in book.recent_quotes(batch_ticks).collect())
     assert got == exp
+
+
+def test_top_of_book_update_mode(spark, workdir):
+    src = os.path.join(workdir, "in")
+    msgs = _write_messages(spark, src, 3)
+    raw = msgs.select(F.get_json_object("value", "$.product_id").alias("key"), "value")
+    exp = {r["product_id"]: tuple(r) for r in book.top_of_book(good_ticks(ingest(raw))).collect()}
+    seen = {}
+
+    def keep(batch, _bid):
+        for r in batch.collect():  # test sink: a handful of rows per batch
+            seen[r["product_id"]] = tuple(r)
+
+    ticks = good_ticks(ingest(read_tick_stream(spark, path=src, max_per_trigger=1)))
+    q = (stream_top_of_book(ticks).writeStream.outputMode("update").foreachBatch(keep)
+         .trigger(availableNow=True).option("checkpointLocation", os.path.join(workdir, "c")).start())
+    q.awaitTermination(300)
+    assert seen == exp
