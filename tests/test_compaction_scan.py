@@ -105,3 +105,15 @@ def test_plain_appends_accumulate(spark, workdir):
     back = scan_ticks(spark, root)
     assert back.count() == 2 * t.count()
     assert back.where("time IS NULL").count() == 0
+
+
+def test_stale_staging_is_cleaned(spark, workdir):
+    from ticklake.sources.compaction import compact_table
+
+    table = _table(spark, workdir, batches=2)
+    before = _rows(scan_ticks(spark, table))
+    compact_day(spark, table, "2024-01-15", today=date(2024, 2, 1), _stop_after_move=True)
+    assert os.listdir(os.path.join(table, "_staging"))
+    compact_table(spark, table, today=date(2024, 1, 16), staging_max_age_hours=0)
+    assert os.listdir(os.path.join(table, "_staging")) == []
+    assert _rows(scan_ticks(spark, table)) == before

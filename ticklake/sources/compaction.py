@@ -166,13 +166,35 @@ def compact_day(spark: SparkSession, root: str, day: date | datetime | str,
     return {"status": "compacted", "rows": n, "files_before": files_before, "batch": stamp}
 
 
+def clean_staging(spark: SparkSession, root: str, max_age_hours: float = 24.0) -> int:
+    """Delete staging folders of interrupted compactions older than ``max_age_hours``.
+
+    Younger ones are left alone: they may belong to a compaction still running.
+    """
+    import time
+
+    fs, _, jvm = _fs(spark, root)
+    stage = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/_staging")
+    if not fs.exists(stage):
+        return 0
+    cutoff_ms = (time.time() - max_age_hours * 3600) * 1000
+    removed = 0
+    for st in fs.listStatus(stage):
+        if st.getModificationTime() <= cutoff_ms:
+            fs.delete(st.getPath(), True)
+            removed += 1
+    return removed
+
+
 def compact_table(spark: SparkSession, root: str, today: date,
-                  rows_per_file: int = 5_000_000) -> list[dict]:
+                  rows_per_file: int = 5_000_000, staging_max_age_hours: float = 24.0) -> list[dict]:
     """SNK4 driver loop: compact every past day that has a fragmented partition.
 
-    The day list comes from ``fragmented_partitions`` (a file-listing
-    aggregate, one row per day reaches the driver); each day is one job.
+    Stale staging folders are removed first. The day list comes from
+    ``fragmented_partitions`` (a file-listing aggregate, one row per day
+    reaches the driver); each day is one job.
     """
+    clean_staging(spark, root, staging_max_age_hours)
     days = (fragmented_partitions(spark, root)
             .select("year", "month", "day").distinct()
             .orderBy("year", "month", "day").collect())
