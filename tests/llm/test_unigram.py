@@ -83,7 +83,7 @@ def test_query_round_trip_on_every_document(spark):
 
 
 def test_defined_cases(spark, model):
-    texts = [None, "", " ", "  a  b ", f"x{MARK}y {MARK}", "a\n\n b\t", "☃\U0001F600", "k" * 120_000, "word " * 50_000, "dup", "dup"]
+    texts = [None, "", " ", "  a  b ", f"x{MARK}y {MARK}\ufdd0", "a\n\n b\t", "☃\U0001F600", "k" * 120_000, "word " * 50_000, "dup", "dup"]
     docs = spark.createDataFrame(list(enumerate(texts)), "ids_ int, text string")
     rows = decode(encode(docs, model), model).orderBy("ids_").collect()
     assert [r["decoded"] for r in rows] == texts and rows[0]["ids"] is None and rows[1]["ids"] == []

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ticklake.llm import decontaminate, langid, simhash, unigram
+from ticklake.llm import decontaminate, langid, line_templates, simhash, unigram
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,9 +14,10 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_unigram": unigram.op4_unigram,
         "op5_decontamination": decontaminate.op5_decontamination,
         "op8_language_id": langid.op8_language_id,
+        "op9_line_templates": line_templates.op9_line_templates,
         "op10_simhash": simhash.op10_simhash,
     }
 
 
 def all_sql() -> dict[str, str]:
-    return {**decontaminate.SQL}
+    return {**decontaminate.SQL, **line_templates.SQL}

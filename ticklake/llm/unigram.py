@@ -22,6 +22,7 @@ encoded whole; rows that repeat and extra columns stay as they are.
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterable
 from dataclasses import dataclass
@@ -40,7 +41,11 @@ UNKNOWN_PENALTY = 10.0
 _PART = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 #: Stands for a marker in the text itself; no character, so no piece has this byte.
 _LITERAL = b"\xff"
+#: A code point that no valid text holds.
+_ESCAPED = "\udfff"
 _IN_STEP = 64
+#: Characters of parts whose ids a task keeps at hand; beyond it they are dropped and found anew.
+_REMEMBERED = 4_000_000
 
 
 @dataclass
@@ -130,6 +135,10 @@ class UnigramModel:
         self.byte_of = {i: b for b, i in enumerate(byte_ids)}
         self.unknown = (min(s for _, s in named.values()) if named else 0.0) - UNKNOWN_PENALTY
         self.trie = DoubleArray.build({p.encode("utf-8"): i for i, (p, _) in named.items() if p})
+        self._bytes = [t.replace(MARK, " ").encode("utf-8") for t in self.text]
+        for i, x in self.byte_of.items():
+            self._bytes[i] = bytes((x,))
+        self._forget()
 
     @classmethod
     def load(cls, path: str = DEFAULT_MODEL, scores: str = "zipf") -> UnigramModel:
@@ -152,33 +161,56 @@ class UnigramModel:
                    [byte_ids[f"<0x{b:02X}>"] for b in range(256)] if byte_ids else [], m.unk_id())
 
     def encode(self, texts: list[str | None]) -> list[list[int] | None]:
-        seen: dict[str, int] = {}
-        docs = []
+        return [None if x is None else x.tolist() for x in self.encode_arrays(texts)]
+
+    def encode_arrays(self, texts: list[str | None]) -> list[np.ndarray | None]:
+        """Piece ids of each text. Parts met before are looked up, as long as ``_REMEMBERED`` characters allow."""
+        if self._held > _REMEMBERED:
+            self._forget()
+        known, docs = self._known, []
+        before = len(known)
         for t in texts:
-            t = f" {t}".replace(MARK, "") if t else ""
-            docs.append([seen.setdefault(p, len(seen)) for p in _PART.findall(t.replace(" ", MARK))])
-        # the stand-in for a literal marker is one byte that no piece holds
-        parts = [p.encode("utf-8").replace("".encode(), _LITERAL) for p in seen]
-        ids = self._segment(parts)
-        return [None if t is None else [i for p in d for i in ids[p]] for t, d in zip(texts, docs)]
-
-    def _segment(self, parts: list[bytes]) -> list[list[int]]:
-        out: list[list[int]] = [[]] * len(parts)
+            t = f" {t}".replace(MARK, _ESCAPED).replace(" ", MARK) if t else ""
+            docs.append(np.array([known.setdefault(p, len(known)) for p in _PART.findall(t)], np.int64))
+        new = list(itertools.islice(known, before, None))
+        self._held += sum(map(len, new))
+        mark = _ESCAPED.encode("utf-8", "surrogatepass")
+        # the stand-in for a literal marker becomes one byte that no piece holds
+        self._segment([p.encode("utf-8", "surrogatepass").replace(mark, _LITERAL) for p in new])
+        out = []
+        for t, d in zip(texts, docs):
+            size = self._ends[d] - self._begins[d]
+            at = np.cumsum(size) - size
+            out.append(None if t is None else self._ids[np.repeat(self._begins[d] - at, size) + np.arange(int(size.sum()))])
+        return out
+
+    def _forget(self) -> None:
+        self._known: dict[str, int] = {}
+        self._ids, self._begins, self._ends, self._held = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+
+    def _segment(self, parts: list[bytes]) -> None:
+        """Adds the ids of new parts to those known."""
         # short parts in step, some thousands at a time; long ones one by one
         order = sorted(range(len(parts)), key=lambda i: len(parts[i]))
-        at = 0
+        at, found, sizes = 0, [self._ids], []
         while at < len(order):
             end = at + 1
             size = len(parts[order[at]])
             while end < len(order) and end - at < 20_000 and len(parts[order[end]]) <= _IN_STEP and size < 1_000_000:
                 size += len(parts[order[end]])
                 end += 1
-            for i, ids in zip(order[at:end], self._viterbi([parts[i] for i in order[at:end]])):
-                out[i] = ids
+            ids, count = self._viterbi([parts[i] for i in order[at:end]])
+            found.append(ids)
+            sizes.append(count)
             at = end
-        return out
-
-    def _viterbi(self, parts: list[bytes]) -> list[list[int]]:
+        ends = len(self._ids) + np.cumsum(np.concatenate(sizes)) if sizes else np.zeros(0, np.int64)
+        begins = ends - np.concatenate(sizes) if sizes else ends
+        back = np.argsort(order) if order else np.zeros(0, np.int64)
+        self._begins, self._ends = np.r_[self._begins, begins[back]], np.r_[self._ends, ends[back]]
+        self._ids = np.concatenate(found)
+
+    def _viterbi(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the parts, one part after the other, and how many each has."""
         raw = np.frombuffer(b"".join(parts), np.uint8).astype(np.int32)
         lens = np.array([len(p) for p in parts])
         ends = np.cumsum(lens)
@@ -212,21 +244,36 @@ class UnigramModel:
                 win = cand > best[to]
                 best[to[win]] = cand[win]
                 back[to[win]] = np.arange(x, y)[win]
-        out = []
-        lists = back.tolist(), a.tolist(), piece.tolist(), b.tolist()
-        for k in range(len(parts)):
-            first, pos, ids = int(begins[k]) + k, int(ends[k]) + k, []
-            while pos > first:
-                e = lists[0][pos]
-                pos = lists[1][e]
-                if lists[2][e] >= 0:
-                    ids.append(lists[2][e])
-                else:
-                    got = raw[pos - k:lists[3][e] - k].tolist()
-                    got = list(MARK.encode()) if got == list(_LITERAL) else got
-                    ids.extend(self.byte_ids[got][::-1].tolist() if len(self.byte_ids) else [self.unknown_id])
-            out.append(ids[::-1])
-        return out
+        return self._trace(raw, begins, ends, a, b, piece, back)
+
+    def _trace(self, raw, begins, ends, a, b, piece, back) -> tuple[np.ndarray, np.ndarray]:
+        part = np.arange(len(begins))
+        first, pos = begins + part, ends + part
+        edges, of = [], []
+        while len(part):
+            e = back[pos]
+            edges.append(e)
+            of.append(part)
+            pos = a[e]
+            go = pos > first
+            part, pos, first = part[go], pos[go], first[go]
+        turn = np.repeat(np.arange(len(edges)), [len(e) for e in edges])
+        of, edges = np.concatenate(of), np.concatenate(edges)
+        order = np.lexsort((-turn, of))
+        of, edges = of[order], edges[order]
+        ids, miss = piece[edges].astype(np.int32), piece[edges] < 0
+        if not len(self.byte_ids):
+            return np.where(miss, self.unknown_id, ids).astype(np.int32), np.bincount(of, minlength=len(begins))
+        # an unknown character becomes one piece for each of its bytes
+        start = a[edges] - of
+        literal = miss & (raw[np.minimum(start, len(raw) - 1)] == _LITERAL[0])
+        width = np.where(miss, np.where(literal, len(MARK.encode("utf-8")), b[edges] - a[edges]), 1)
+        row = np.repeat(np.arange(len(edges)), width)
+        k = np.arange(len(row)) - np.repeat(np.cumsum(width) - width, width)
+        mark = np.frombuffer(MARK.encode("utf-8"), np.uint8)
+        byte = np.where(literal[row], mark[np.minimum(k, len(mark) - 1)], raw[np.minimum(start[row] + k, len(raw) - 1)])
+        out = np.where(miss[row], self.byte_ids[np.where(miss[row], byte, 0)], ids[row])
+        return out.astype(np.int32), np.bincount(of, width, len(begins)).astype(np.int64)
 
     @staticmethod
     def _one(best, back, a, b, score) -> None:
@@ -240,11 +287,7 @@ class UnigramModel:
     def decode(self, ids: Iterable[int] | None) -> str | None:
         if ids is None:
             return None
-        out = bytearray()
-        for i in ids:
-            b = self.byte_of.get(i)
-            out += self.text[i].replace(MARK, " ").encode("utf-8") if b is None else bytes((b,))
-        return out.decode("utf-8", errors="replace").removeprefix(" ")
+        return b"".join(map(self._bytes.__getitem__, ids)).decode("utf-8", errors="replace").removeprefix(" ")
 
 
 def encode(docs: DataFrame, model: UnigramModel, text_col: str = "text", out: str = "ids") -> DataFrame:
@@ -255,7 +298,7 @@ def encode(docs: DataFrame, model: UnigramModel, text_col: str = "text", out: st
     def ids(text: pd.Series) -> pd.Series:
         found, texts = [], list(text)
         for at in range(0, len(texts), 1000):
-            found += shared.value.encode(texts[at:at + 1000])
+            found += shared.value.encode_arrays(texts[at:at + 1000])
         return pd.Series(found, dtype=object)
 
     return docs.withColumn(out, ids(F.col(text_col)))
@@ -267,7 +310,7 @@ def decode(docs: DataFrame, model: UnigramModel, ids_col: str = "ids", out: str
 
     @F.pandas_udf("string")
     def text(ids: pd.Series) -> pd.Series:
-        return pd.Series([shared.value.decode(x) for x in ids], dtype=object)
+        return pd.Series([None if x is None else shared.value.decode(x.tolist()) for x in ids], dtype=object)
 
     return docs.withColumn(out, text(F.col(ids_col)))
 
