@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ticklake.llm import decontaminate, langid, line_templates, simhash, unigram
+from ticklake.llm import decontaminate, html_text, langid, line_templates, revisits, simhash, unigram
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_revisits": revisits.op1_revisits,
+        "op3_html_text": html_text.op3_html_text,
         "op4_unigram": unigram.op4_unigram,
         "op5_decontamination": decontaminate.op5_decontamination,
         "op8_language_id": langid.op8_language_id,
@@ -20,4 +22,4 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def all_sql() -> dict[str, str]:
-    return {**decontaminate.SQL, **line_templates.SQL}
+    return {**revisits.SQL, **decontaminate.SQL, **line_templates.SQL}
