@@ -6,15 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ticklake.llm import decontaminate, html_text, langid, line_templates, revisits, simhash, unigram
+from ticklake.llm import decision_list, decontaminate, html_text, langid, line_templates, revisits, simhash, surrogates, unigram
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_revisits": revisits.op1_revisits,
+        "op2_surrogates": surrogates.op2_surrogates,
         "op3_html_text": html_text.op3_html_text,
         "op4_unigram": unigram.op4_unigram,
         "op5_decontamination": decontaminate.op5_decontamination,
+        "op6_decision_list": decision_list.op6_decision_list,
         "op8_language_id": langid.op8_language_id,
         "op9_line_templates": line_templates.op9_line_templates,
         "op10_simhash": simhash.op10_simhash,
