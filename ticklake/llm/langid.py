@@ -16,6 +16,7 @@ training set makes every document ``und``; extra columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -29,6 +30,8 @@ from pyspark.sql import functions as F
 from ticklake.llm.common import table
 
 _WORD = re.compile(r"[^\W\d_]+")
+#: Distinct words that a task keeps at hand before it turns them into trigrams, or drops their scores.
+_REMEMBERED = 300_000
 
 # First code points of script ranges (Unicode blocks) and their script.
 SCRIPT_RANGES = [
@@ -59,6 +62,11 @@ class LanguageModel:
     allowed: np.ndarray
     switch: float
 
+    def __post_init__(self) -> None:
+        # words met before and their scores
+        self._known: dict[str, int] = {}
+        self._scores, self._sizes = np.zeros((0, len(self.langs))), np.zeros(0, np.int64)
+
     def word_scores(self, words: list[str]) -> np.ndarray:
         """(word, language) log scores; a forbidden script costs far more than any switch."""
         get, unseen = self.rows.get, len(self.rows)
@@ -109,19 +117,23 @@ class LanguageModel:
 
     def label(self, texts: list[str | None]) -> list[tuple[str, float, list[tuple[int, int, str]]]]:
         """(language, share of its letters, spans as (first word, words, language)) of each text."""
-        ids: dict[str, int] = {}
-        docs = [np.array([ids.setdefault(w, len(ids)) for w in _WORD.findall(t.lower())] if t else [], np.int64) for t in texts]
-        if not ids or not self.langs:
+        if not self.langs:
             return [("und", 0.0, [])] * len(texts)
-        words = list(ids)
-        scores, size = self.word_scores(words), np.array([len(w) for w in words])
+        if len(self._known) > _REMEMBERED:
+            self._known, self._scores, self._sizes = {}, self._scores[:0], self._sizes[:0]
+        ids, before = self._known, len(self._known)
+        docs = [np.array([ids.setdefault(w, len(ids)) for w in _WORD.findall(t.lower())] if t else [], np.int64) for t in texts]
+        if new := list(itertools.islice(ids, before, None)):
+            self._scores = np.concatenate([self._scores, self.word_scores(new)])
+            self._sizes = np.r_[self._sizes, [len(w) for w in new]]
+        scores, size = self._scores, self._sizes
         out = []
         for d, path in zip(docs, self.paths(scores, docs)):
             if not len(d):
                 out.append(("und", 0.0, []))
                 continue
             letters = np.bincount(path, size[d], len(self.langs))
-            total = [scores[d, j].sum() for j in range(len(self.langs))]
+            total = scores[d].sum(axis=0)
             win = min(range(len(self.langs)), key=lambda j: (-letters[j], -total[j], self.langs[j]))
             cut = np.flatnonzero(np.r_[True, path[1:] != path[:-1]])
             spans = [(int(a), int(n), self.langs[path[a]]) for a, n in zip(cut, np.diff(np.r_[cut, len(path)]))]
@@ -131,18 +143,25 @@ class LanguageModel:
 
 def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     grams: dict[str, Counter] = {}
-    for x in batches:
-        for lang, texts in x.groupby("lang")["text"]:
-            words: Counter = Counter()
-            for t in texts:
-                words.update(_WORD.findall(t.lower()))
+    words: dict[str, Counter] = {}
+
+    def count() -> None:
+        for lang, held in words.items():
             own = grams.setdefault(lang, Counter())
-            names = list(words)
+            names = list(held)
             for w, s in zip(names, _scripts(names) if names else []):
-                n, p = words[w], f"^{w}$"
+                n, p = held[w], f"^{w}$"
                 own["script " + SCRIPTS[s]] += n
                 for i in range(len(p) - 2):
                     own[p[i:i + 3]] += n
+        words.clear()
+
+    for x in batches:
+        for lang, text in zip(x["lang"], x["text"]):
+            words.setdefault(lang, Counter()).update(_WORD.findall(text.lower()))
+        if sum(map(len, words.values())) > _REMEMBERED:
+            count()
+    count()
     for lang, c in grams.items():
         yield pd.DataFrame({"lang": lang, "gram": list(c), "n": list(c.values())})
 

@@ -26,14 +26,14 @@ from pyspark.sql import functions as F
 
 from ticklake.llm.common import cut, table
 
-_SPACE = r"[\x20\x09\x0B-\x0D]+"
+_SPACE = r"[\x09\x0B-\x0D][\x20\x09\x0B-\x0D]*|\x20[\x20\x09\x0B-\x0D]+"
 _FIELD = "<*>"
 
 
 def _masked(line: Column) -> Column:
     """Tokens of a line, single-spaced, those with a digit as fields."""
     plain = F.trim(F.regexp_replace(line, _SPACE, " "))
-    return F.regexp_replace(plain, r"[^ ]*[0-9][^ ]*", _FIELD)
+    return F.when(plain.rlike("[0-9]"), F.regexp_replace(plain, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", _FIELD)).otherwise(plain)
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str, depth: int) -> DataFrame:
@@ -44,9 +44,14 @@ def _lines(docs: DataFrame, id_col: str, text_col: str, depth: int) -> DataFrame
             .select("id", "masked", F.xxhash64(tokens, F.substring_index("masked", " ", depth)).alias("leaf"), F.xxhash64("masked").alias("line")))
 
 
-def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = 3,
-                    max_children: int = 8, min_docs: int = 10, min_fixed: float = 0.5) -> DataFrame:
+def recurring_lines(docs: DataFrame, **options) -> DataFrame:
     """Masked lines (``line``: hash, ``template``, ``n_docs``) whose template recurs."""
+    return _recurring(docs, **options)[1]
+
+
+def _recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = 3,
+               max_children: int = 8, min_docs: int = 10, min_fixed: float = 0.5) -> tuple[DataFrame, DataFrame]:
+    """(id, line) of the lines that may recur, and the masked lines that do."""
     lines = _lines(docs, id_col, text_col, depth)
     # a line of a template is in its leaf: a leaf in fewer documents holds no recurring template
     leaves = lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_docs).select("leaf")
@@ -62,14 +67,13 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = cut(known.withColumn("key", F.xxhash64("template")))
     counts = (near.select("id", "line").join(known.select("line", "key"), "line").select("key", "id").distinct()
               .groupBy("key").agg(F.count(F.lit(1)).alias("n_docs")).filter(F.col("n_docs") >= min_docs))
-    return known.join(counts, "key").select("line", "template", "n_docs")
+    return near.select("id", "line"), known.join(counts, "key").select("line", "template", "n_docs")
 
 
 def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with the recurring lines taken out of their text, and ``n_dropped`` beside it as (row, n_dropped)."""
-    depth = options.get("depth", 3)
-    found = cut(recurring_lines(docs, id_col, text_col, **options).select("line"))
-    gone = (_lines(docs, id_col, text_col, depth).join(found, "line").groupBy("id").agg(F.collect_set("line").alias("gone")))
+    near, found = _recurring(docs, id_col, text_col, **options)
+    gone = near.join(found.select("line"), "line").groupBy("id").agg(F.collect_set("line").alias("gone")).hint("shuffle_hash")
     row = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
     joined = docs.select(row).join(gone, F.col(f"row.{id_col}").eqNullSafe(F.col("id")), "left").select("row", "gone")
     text = F.split(F.col(f"row.{text_col}"), "\n")

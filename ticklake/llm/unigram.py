@@ -318,14 +318,19 @@ def decode(docs: DataFrame, model: UnigramModel, ids_col: str = "ids", out: str
 def encoded(docs: DataFrame, model_path: str = DEFAULT_MODEL, scores: str = "zipf") -> DataFrame:
     """doc_id, ids, counts and whether decoding gives the text back."""
     model = UnigramModel.load(model_path, scores)
-    rows = decode(encode(docs.select("doc_id", "text"), model), model)
-    if len(model.byte_ids):
-        low, high = int(model.byte_ids.min()), int(model.byte_ids.max())
-    else:
-        low, high = 0, -1
-    return rows.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.size("ids").cast("long").alias("n_pieces"),
-                       F.size(F.filter("ids", lambda i: i.between(low, high))).cast("long").alias("n_byte_pieces"),
-                       F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"), "ids")
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    # one function for both directions, so that a text is encoded once
+    @F.pandas_udf("ids array<int>, n_byte_pieces long, round_trip boolean")
+    def both(text: pd.Series) -> pd.DataFrame:
+        m, ids, texts = shared.value, [], list(text)
+        for at in range(0, len(texts), 1000):
+            ids += m.encode_arrays(texts[at:at + 1000])
+        return pd.DataFrame({"ids": ids, "n_byte_pieces": [None if x is None else int(np.isin(x, m.byte_ids).sum()) for x in ids],
+                             "round_trip": [m.decode(None if x is None else x.tolist()) == t for x, t in zip(ids, texts)]})
+
+    rows = docs.select("doc_id", F.length("text").cast("long").alias("n_chars"), both("text").alias("x"))
+    return rows.select("doc_id", "n_chars", F.size("x.ids").cast("long").alias("n_pieces"), "x.n_byte_pieces", "x.round_trip", "x.ids")
 
 
 def op4_unigram(spark: SparkSession, sf_dir: str) -> DataFrame:
