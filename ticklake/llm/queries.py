@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ticklake.llm import decision_list, decontaminate, html_text, langid, line_templates, revisits, simhash, surrogates, unigram
+from ticklake.llm import decision_list, decontaminate, html_text, langid, line_templates, repeats, revisits, simhash, surrogates, unigram
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,6 +17,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_unigram": unigram.op4_unigram,
         "op5_decontamination": decontaminate.op5_decontamination,
         "op6_decision_list": decision_list.op6_decision_list,
+        "op7_repeats": repeats.op7_repeats,
         "op8_language_id": langid.op8_language_id,
         "op9_line_templates": line_templates.op9_line_templates,
         "op10_simhash": simhash.op10_simhash,
