@@ -45,11 +45,11 @@ def test_types_formats_and_coreference(spark):
 
 
 def test_collisions_are_resolved(spark):
-    # one digit has ten surrogates: nearly all of nine entities collide at first
-    ents = spark.createDataFrame([("secret", str(i)) for i in range(10, 60)] + [("ip", f"1.1.1.{i}") for i in range(40)], "kind string, text string")
+    # a hundred two-digit texts: several of the entities collide at first
+    ents = spark.createDataFrame([("secret", str(i)) for i in range(10, 25)] + [("ip", f"1.1.1.{i}") for i in range(40)], "kind string, text string")
     got = surrogate_table(ents, "k").collect()
     pairs = {(r["kind"], r["surrogate"]) for r in got}
-    assert len(got) == 90 == len(pairs) and not pairs & {(r["kind"], r["text"]) for r in got}
+    assert len(got) == 55 == len(pairs) and not pairs & {(r["kind"], r["text"]) for r in got}
 
 
 def test_query_keeps_what_is_not_an_entity(spark):

@@ -110,6 +110,8 @@ def _bin(statistic: str, thresholds: list[float]) -> Column:
 def _grow(rows: DataFrame, thresholds: dict[str, list[float]], max_conditions: int) -> list[Condition]:
     conditions: list[Condition] = []
     names = [s for s in STATISTICS if thresholds[s]]
+    if not names:
+        return []
     for _ in range(max_conditions):
         covered = rows.filter(F.col("growing") & Rule(tuple(conditions)).column())
         bins = F.array(*[F.struct(F.lit(i).alias("s"), _bin(s, thresholds[s]).alias("bin")) for i, s in enumerate(names)])
