@@ -167,15 +167,14 @@ def stream_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         from ticklake.session import scratch_path
         from ticklake.sources.scan import scan_ticks
         from ticklake.streaming.ingest_stream import start_ingest
+        from ticklake.streaming.runner import finish
 
         apply_query_conf(spark)
         base = scratch_path(spark, "stream-ingest")
         msgs = messages_from_events(_event_stream(spark, sf_dir))
         q = start_ingest(msgs, f"{base}/table", f"{base}/dead", f"{base}/_checkpoint",
                          f"{base}/metrics", available_now=True)
-        q.awaitTermination(1800)
-        if q.exception() is not None:
-            raise RuntimeError(str(q.exception()))
+        finish(q)
         return round_doubles(_ntz(scan_ticks(spark, f"{base}/table")))
 
     return {"stream_top_of_book": tob, "stream_recent_quotes": recent,

@@ -74,7 +74,7 @@ def _recent_fn(depth: int):
         top = top.reset_index(drop=True)
         version += 1
         state.update(tuple([[float(x) if pd.notna(x) else None for x in top[c]] for c in _Q]
-                           + [list(top["time"].dt.to_pydatetime()), [int(x) for x in top["sequence"]],
+                           + [list(top["time"].dt.to_pydatetime()), [None if pd.isna(x) else int(x) for x in top["sequence"]],
                               version]))
         prior = top.iloc[1:].copy()
         prior.insert(0, "rank", range(1, len(prior) + 1))
@@ -99,8 +99,5 @@ def stream_recent_quotes(ticks: DataFrame, depth: int = RECENT_QUOTES) -> DataFr
 
 def current_recent_quotes(emitted: DataFrame) -> DataFrame:
     """From the appended SS2 output, the rows of each symbol's latest version."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("product_id")
-    return (emitted.withColumn("_v", F.max("version").over(w))
-            .where(F.col("version") == F.col("_v")).drop("_v", "version"))
+    last = emitted.groupBy("product_id").agg(F.max("version").alias("version"))
+    return emitted.join(last, ["product_id", "version"]).select(*[c for c in emitted.columns if c != "version"])

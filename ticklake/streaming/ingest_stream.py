@@ -1,7 +1,8 @@
 """SS3: tick stream -> typed Parquet table + dead letters + ingest metrics.
 
 Each micro-batch is validated once (persisted for its three writes) and
-written with the batch id as the innermost partition directory. The sinks
+written with the query's own id and the batch id as the innermost partition
+directory, so that any number of streams can feed one table. The sinks
 use dynamic partition overwrite, so when Spark replays a batch after a
 failure (``foreachBatch`` is at-least-once) the same directories are
 replaced instead of appended to: the table holds every message once.
@@ -10,8 +11,10 @@ Offsets and the commit log live in the checkpoint folder.
 
 from __future__ import annotations
 
+import json
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -20,15 +23,22 @@ from ticklake.session import apply_query_conf
 from ticklake.sources.sinks import append_ticks, write_dead_letters
 
 
-def batch_name(batch_id: int) -> str:
-    return f"b{batch_id:012d}"
+def batch_name(batch_id: int, owner: str = "") -> str:
+    """Directory name of a micro-batch; ``owner`` tells the queries that feed one table apart."""
+    return f"b{batch_id:012d}" + (f"-{owner}" if owner else "")
+
+
+def query_owner(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a query keeps in its checkpoint for life; a new checkpoint has another."""
+    text = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]
+    return json.loads(text)["id"].replace("-", "")
 
 
 def ingest_batch(raw: DataFrame, batch_id: int, table_root: str, dead_root: str,
-                 metrics_root: str | None = None) -> None:
+                 metrics_root: str | None = None, owner: str = "") -> None:
     """Process one micro-batch of ``key, value`` rows (also usable on a batch frame)."""
     apply_query_conf(raw.sparkSession)  # UTC: partition days are UTC days
-    name = batch_name(batch_id)
+    name = batch_name(batch_id, owner)
     validated = ingest(raw).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         append_ticks(good_ticks(validated), table_root, name)
@@ -46,8 +56,15 @@ def start_ingest(stream: DataFrame, table_root: str, dead_root: str, checkpoint:
                  processing_time: str | None = None) -> StreamingQuery:
     """Start the ingest query on a ``key, value`` stream (``read_tick_stream``)."""
     apply_query_conf(stream.sparkSession)
+    owner: list[str] = []
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        if not owner:
+            owner.append(query_owner(batch.sparkSession, checkpoint))
+        ingest_batch(batch, batch_id, table_root, dead_root, metrics_root, owner[0])
+
     writer = (stream.writeStream
-              .foreachBatch(lambda df, bid: ingest_batch(df, bid, table_root, dead_root, metrics_root))
+              .foreachBatch(process)
               .option("checkpointLocation", checkpoint))
     if available_now:
         writer = writer.trigger(availableNow=True)

@@ -13,12 +13,14 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ticklake.session import scratch_path
 
 
 def run_to_table(spark: SparkSession, stream: DataFrame, name: str, output_mode: str = "append",
-                 timeout_s: int = 1800) -> str:
+                 timeout_s: int | None = None) -> str:
+    """Runs ``stream`` to its end; raises if it does not get there in ``timeout_s`` (default: no limit)."""
     base = scratch_path(spark, name)
     out, ckpt = os.path.join(base, "data"), os.path.join(base, "_checkpoint")
 
@@ -32,7 +34,16 @@ def run_to_table(spark: SparkSession, stream: DataFrame, name: str, output_mode:
 
     q = (stream.writeStream.outputMode(output_mode).foreachBatch(write)
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    finish(q, timeout_s)
     return out
+
+
+def finish(query: StreamingQuery, timeout_s: int | None = None) -> None:
+    """Waits for the end of a query; a failure or a missed limit raises, so that no partial result is read."""
+    if timeout_s is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_s):
+        query.stop()
+        raise TimeoutError(f"stream not finished after {timeout_s} s")
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
