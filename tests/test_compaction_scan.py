@@ -117,3 +117,36 @@ def test_stale_staging_is_cleaned(spark, workdir):
     compact_table(spark, table, today=date(2024, 1, 16), staging_max_age_hours=0)
     assert os.listdir(os.path.join(table, "_staging")) == []
     assert _rows(scan_ticks(spark, table)) == before
+
+
+def test_late_batch_survives_compaction(spark, workdir, monkeypatch):
+    from ticklake.sources import compaction
+    from ticklake.sources.sinks import append_ticks
+
+    table = _table(spark, workdir)
+    late = [r.asDict() for r in scan_ticks(spark, table).where("day = 15").collect()]
+    late = spark.createDataFrame(late, scan_ticks(spark, table).schema)
+    before = scan_ticks(spark, table).count()
+    write, landed = compaction._write_text, []
+
+    def write_then_land(*args):
+        if not landed:
+            landed.append(late.count())
+            append_ticks(late, table, "late")
+        write(*args)
+
+    monkeypatch.setattr(compaction, "_write_text", write_then_land)
+    assert compact_day(spark, table, "2024-01-15", today=date(2024, 2, 1))["status"] == "compacted"
+    assert scan_ticks(spark, table).count() == before + landed[0]
+
+
+def test_two_owners_share_a_table(spark, workdir):
+    from ticklake.sources.sinks import append_ticks
+    from ticklake.streaming.ingest_stream import batch_name
+
+    table = _table(spark, workdir)
+    rows = [r.asDict() for r in scan_ticks(spark, table).collect()]
+    rows = spark.createDataFrame(rows, scan_ticks(spark, table).schema)
+    for owner in ("a1", "b2", "a1"):
+        append_ticks(rows, f"{workdir}/two", batch_name(0, owner))
+    assert scan_ticks(spark, f"{workdir}/two").count() == 2 * rows.count()

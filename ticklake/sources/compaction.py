@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 from datetime import date, datetime, timezone
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,6 +62,8 @@ def _roll_forward(spark: SparkSession, fs, day_path, jvm) -> int:
                     if name != batch.getPath().getName() and fs.exists(victim):
                         fs.delete(victim, True)
                         removed += 1
+                # done: a left-over note must never meet a later batch
+                fs.delete(note, False)
     return removed
 
 
@@ -101,7 +104,7 @@ def compact_day(spark: SparkSession, root: str, day: date | datetime | str,
     and deleting the batches it replaces (tests only).
     """
     start, _ = day_bounds(day)
-    if today is not None and start.date() >= today:
+    if start.date() >= (today or datetime.now(timezone.utc).date()):
         return {"status": "skipped-today", "rows": 0}
     src_dir = _day_dir(root, start)
     fs, src_path, jvm = _fs(spark, src_dir)
@@ -111,6 +114,9 @@ def compact_day(spark: SparkSession, root: str, day: date | datetime | str,
     day_df = (scan_ticks(spark, root)
               .where((F.col("year") == start.year) & (F.col("month") == start.month)
                      & (F.col("day") == start.day)))
+    # the files of this frame are listed here, once: these are rewritten, and these alone deleted
+    read_dirs = {unquote(f.rsplit("/", 1)[0]).split(day_key, 1)[1] for day_key in [_day_dir("", start).lstrip("/") + "/"]
+                 for f in day_df.inputFiles() if day_key in unquote(f)}
     file_col = F.col("_metadata.file_path")
     batch_of = F.element_at(F.split(F.element_at(F.split(file_col, "/batch="), -1), "/"), 1)
     stats = (day_df.select("product_id", batch_of.alias("b"), file_col.alias("f"))
@@ -139,7 +145,7 @@ def compact_day(spark: SparkSession, root: str, day: date | datetime | str,
                .where((F.col("year") == start.year) & (F.col("month") == start.month)
                       & (F.col("day") == start.day)).count())
     if written != n:
-        return {"status": "count-mismatch", "rows": n, "written": written}
+        raise RuntimeError(f"{written} of {n} rows rewritten; the day is left as it was")
     # swap, per symbol: note the batches being replaced in the new batch
     # directory, move it in, then delete the old ones. A crash after the move
     # leaves both; the next run rolls forward from the note (``_roll_forward``).
@@ -150,12 +156,14 @@ def compact_day(spark: SparkSession, root: str, day: date | datetime | str,
         sym_name = sym_status.getPath().getName()
         dst_sym = Path(src_path, sym_name)
         old = [st.getPath() for st in fs.listStatus(dst_sym)] if fs.exists(dst_sym) else []
-        if not old:
+        old = [o for o in old if unquote(f"{sym_name}/{o.getName()}") in read_dirs]
+        if not fs.exists(dst_sym):
             fs.mkdirs(dst_sym)
         for staged_batch in sfs.listStatus(sym_status.getPath()):
             _write_text(fs, Path(staged_batch.getPath(), REPLACES),
                         "\n".join(o.getName() for o in old))
-            fs.rename(staged_batch.getPath(), Path(dst_sym, staged_batch.getPath().getName()))
+            if not fs.rename(staged_batch.getPath(), Path(dst_sym, staged_batch.getPath().getName())):
+                raise OSError(f"could not move {staged_batch.getPath()}; nothing was deleted")
         if _stop_after_move:
             return {"status": "interrupted", "rows": n}
         for o in old:
