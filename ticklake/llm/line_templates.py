@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.llm.common import cut, table
+from ticklake.llm.common import cut, table, written
 
 _SPACE = r"[\x09\x0B-\x0D][\x20\x09\x0B-\x0D]*|\x20[\x20\x09\x0B-\x0D]+"
 _FIELD = "<*>"
@@ -55,7 +55,8 @@ def _recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lines = _lines(docs, id_col, text_col, depth)
     # a line of a template is in its leaf: a leaf in fewer documents holds no recurring template
     leaves = lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_docs).select("leaf")
-    near = cut(lines.join(leaves, "leaf"))
+    # as a table of known size, so that Spark can join it without a shuffle of the lines as long as it is small
+    near = cut(lines.join(written(leaves, "line-leaves"), "leaf"))
     masked = near.groupBy("leaf", "line").agg(F.first("masked").alias("masked"))
     tokens = masked.select("leaf", F.posexplode(F.split("masked", " ")).alias("pos", "token"))
     fields = (tokens.distinct().groupBy("leaf", "pos").count().filter(F.col("count") > max_children)
