@@ -75,16 +75,20 @@ def decode_messages(raw: DataFrame, key: str = "key", value: str = "value") -> D
     return out.select("key", "value", *MESSAGE_FIELDS, bad.alias("_bad_json"))
 
 
+# What a cast to double takes beside decimal numbers: type suffixes and hexadecimal digits.
+_NOT_DECIMAL = r"[0-9.][dDfF]\s*$|^\s*[+-]?0[xX]"
+
+
 # ING6
 def coerce_numeric(df: DataFrame, columns: Iterable[str] = NUMERIC_COLUMNS) -> DataFrame:
-    """Text -> double; anything unparsable is NULL."""
-    return df.withColumns({c: F.col(c).try_cast("double") for c in columns})
+    """Text -> double; anything unparsable is NULL, a type suffix (``1.5d``) or a hexadecimal number too."""
+    return df.withColumns({c: F.when(~F.col(c).rlike(_NOT_DECIMAL), F.col(c).try_cast("double")) for c in columns})
 
 
 # ING7
 def parse_time(text: Column) -> Column:
-    """ISO-8601 text -> ``timestamp`` (UTC session zone), NULL if unparsable."""
-    return F.try_to_timestamp(text)
+    """ISO-8601 text -> ``timestamp`` (UTC session zone), NULL if unparsable or without a date."""
+    return F.when(~text.rlike(r"^\s*[Tt]?[0-9]{1,2}:"), F.try_to_timestamp(text))
 
 
 # ING8
@@ -176,25 +180,16 @@ def stamp_consumed_stored(df: DataFrame) -> DataFrame:
 
 
 # ING14
-# Largest subscription set that is broadcast (rows); above it a shuffle join.
-MAX_BROADCAST_SUBSCRIPTIONS = 1_000_000
-
-
 def filter_subscribed(ticks: DataFrame, subscriptions) -> DataFrame:
     """Only subscribed symbols.
 
     A list of symbols becomes an ``IN`` predicate (pushed to the scan and to
     partition pruning, no join). A DataFrame of ``product_id`` (static) is a
-    left-semi join; it is broadcast only after counting it below
-    ``MAX_BROADCAST_SUBSCRIPTIONS`` (streaming micro-batches get no AQE), else
-    both sides shuffle on ``product_id``.
+    left-semi join, planned by Spark from the size it knows.
     """
     if isinstance(subscriptions, (list, tuple, set, frozenset)):
         return ticks.where(F.col("product_id").isin(sorted(subscriptions)))
-    subs = subscriptions.select("product_id").distinct()
-    if subs.count() <= MAX_BROADCAST_SUBSCRIPTIONS:
-        subs = F.broadcast(subs)
-    return ticks.join(subs, "product_id", "left_semi")
+    return ticks.join(subscriptions.select("product_id"), "product_id", "left_semi")
 
 
 def subscriptions_frame(spark: SparkSession, symbols: Iterable[str]) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -78,8 +79,9 @@ def build_session(master: str | None = None, app: str = "ticklake",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set (shared storage). Only when it is unset, as
-    in local tests, a private folder is created and registered.
+    On a cluster this must be set (shared storage): unset, it is an error there
+    and under Connect. Only in local runs a private folder is then created and
+    registered.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -87,12 +89,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
         sc = None
     if sc is None:
-        return conf_dir or tempfile.mkdtemp(prefix="ticklake-ckpt-")
+        if not conf_dir:
+            raise ValueError("spark.checkpoint.dir must name a shared folder")
+        return conf_dir
     current = sc.getCheckpointDir() or conf_dir
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not re.match(r"local($|\[)", sc.master):
+        raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
     # unset (local runs only): a private folder on the SparkContext; the core
     # setting itself is not changed at runtime
     local = tempfile.mkdtemp(prefix="ticklake-ckpt-")
