@@ -13,12 +13,13 @@ entity of the corpus, is given up by all but the first (by text) and derived
 anew with the next attempt, until none is left. Equal entities therefore stay
 equal and different ones different throughout the corpus.
 
-Scale: entities are counted once for each document before they are shuffled;
-texts without an entity are not shuffled at all.
+Scale: surrogates are worked out once for each distinct entity, replaced
+mentions go back to their documents by their position in them; texts without a
+hint of an entity are not shuffled at all.
 
 Defined cases: a null text stays null, an empty one empty; entities are matched
-in whole texts of any length; documents that share an id share their
-replacements; a null id is an id like any other; extra columns stay.
+in whole texts of any length; ids need not be distinct, and a null id is an id
+like any other; extra columns stay.
 """
 
 from __future__ import annotations
@@ -65,11 +66,16 @@ def _pieces(mention: Column) -> Column:
     return F.when(_kind(mention) == "name", named).otherwise(F.array(F.struct(_kind(mention).alias("kind"), mention.alias("text"))))
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` worked out once, also where it is used within a loop over an array."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _digits(salt: list, n: int) -> Column:
     """``n`` hash values as an array of small integers."""
     hexes = F.concat(*[F.sha2(F.concat_ws("|", *salt, F.lit(str(i))), 256) for i in range(n)])
-    return F.transform(F.array(hexes), lambda h: F.transform(
-        F.sequence(F.lit(0), F.lit(16 * n - 1)), lambda i: F.conv(F.substring(h, i * 4 + 1, F.lit(4)), 16, 10).cast("int")))[0]
+    return _let(hexes, lambda h: F.transform(
+        F.sequence(F.lit(0), F.lit(16 * n - 1)), lambda i: F.conv(F.substring(h, i * 4 + 1, F.lit(4)), 16, 10).cast("int")))
 
 
 def _like(text: Column, hashes: Column) -> Column:
@@ -98,34 +104,48 @@ def _nth(words: list[str]):
     return lambda x: F.get(F.array(*[F.lit(w) for w in words]), x % len(words))
 
 
-def surrogate(kind: Column, text: Column, attempt: Column, key: str) -> Column:
-    """The replacement of an entity; another one for each attempt."""
-    h = _digits([F.lit(key), kind, text, attempt.cast("string")], 2)
-    at = lambda i: F.get(h, F.lit(i))
-    # an address: the local part of its own, the domain alike for all of a domain, its last label as it is
-    domain, local = F.substring_index(text, "@", -1), F.substring_index(text, "@", 1)
-    site, top = F.regexp_extract(domain, r"^(.*)\.[^.]*$", 1), F.substring_index(domain, ".", -1)
-    email = F.concat(_like(local, h), F.lit("@"), _like(site, _digits([F.lit(key), F.lit("domain"), F.lower(domain)], 1)), F.lit("."), top)
-    ip = F.concat_ws(".", (at(0) % 223 + 1).cast("string"), *[(at(i) % 254 + 1).cast("string") for i in (1, 2, 3)])
+def _card(text: Column, hashes: Column) -> Column:
+    """Another number with a valid check digit, in the groups of the original."""
     plain = F.translate(text, " -", "")
-    body = F.concat(F.substring(plain, 1, 1), F.substring(_like(plain, h), F.lit(2), F.length(plain) - 2))
-    number = F.concat(body, _check_digit(body))
-    # back into the groups of the original: digit j of the number for its j-th digit
-    card = F.array_join(F.transform(F.split(text, ""), lambda c, i: F.when(c.rlike("^[0-9]$"), F.substring(
-        number, F.length(F.translate(F.substring(text, F.lit(1), i + 1), " -", "")), F.lit(1))).otherwise(c)), "")
-    country = F.regexp_extract(text, r"^(\+[0-9]{1,3})(?=[ (.-])", 1)
-    phone = F.concat(country, _like(F.substring(text, F.length(country) + 1, F.length(text)), h))
+    body = F.concat(F.substring(plain, 1, 1), F.substring(_like(plain, hashes), F.lit(2), F.length(plain) - 2))
+
+    def grouped(number):  # digit j of the number for its j-th digit
+        return F.array_join(F.transform(F.split(text, ""), lambda c, i: F.when(c.rlike("^[0-9]$"), F.substring(
+            number, F.length(F.translate(F.substring(text, F.lit(1), i + 1), " -", "")), F.lit(1))).otherwise(c)), "")
+
+    return _let(_let(body, lambda b: F.concat(b, _check_digit(b))), grouped)
+
+
+def _name(kind: Column, text: Column, attempt: Column, hashes: Column) -> Column:
+    """A made-up name of the same script, its given names with an ending of their gender."""
     names = F.lit("")
     for script, syllables in reversed(SYLLABLES.items()):
-        parts = F.transform(F.slice(h, 1, attempt + 3), _nth(syllables))
+        parts = F.transform(F.slice(hashes, 1, attempt + 3), _nth(syllables))
         end = F.when(kind == "given_f", ENDINGS[script][1]).when(kind == "given_m", ENDINGS[script][0]).otherwise("")
         word = F.initcap(F.concat(F.array_join(parts, ""), end))
         own = {"latin": r"\p{IsLatin}", "cyrillic": r"\p{IsCyrillic}", "greek": r"\p{IsGreek}"}[script]
         names = F.when(text.rlike(own), F.when((F.upper(text) == text) & (F.length(text) > 1), F.upper(word)).otherwise(word)).otherwise(names)
     # a name in another script: its letters stand in another order
-    names = F.when(names == "", F.concat(F.reverse(text), F.repeat(F.substring(text, 1, 1), attempt + 1))).otherwise(names)
-    return (F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card).when(kind == "phone", phone)
-            .when(kind == "secret", _like(text, h)).otherwise(names))
+    return F.when(names == "", F.concat(F.reverse(text), F.repeat(F.substring(text, 1, 1), attempt + 1))).otherwise(names)
+
+
+def surrogate(kind: Column, text: Column, attempt: Column, key: str) -> Column:
+    """The replacement of an entity; another one for each attempt."""
+    # an address: the local part of its own, the domain alike for all of a domain, its last label as it is
+    domain, local = F.substring_index(text, "@", -1), F.substring_index(text, "@", 1)
+    site, top = F.regexp_extract(domain, r"^(.*)\.[^.]*$", 1), F.substring_index(domain, ".", -1)
+    country = F.regexp_extract(text, r"^(\+[0-9]{1,3})(?=[ (.-])", 1)
+
+    def of(h):
+        at = lambda i: F.get(h, F.lit(i))
+        new_site = _let(_digits([F.lit(key), F.lit("domain"), F.lower(domain)], 1), lambda d: _like(site, d))
+        email = F.concat(_like(local, h), F.lit("@"), new_site, F.lit("."), top)
+        ip = F.concat_ws(".", (at(0) % 223 + 1).cast("string"), *[(at(i) % 254 + 1).cast("string") for i in (1, 2, 3)])
+        phone = F.concat(country, _like(F.substring(text, F.length(country) + 1, F.length(text)), h))
+        return (F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", _card(text, h)).when(kind == "phone", phone)
+                .when(kind == "secret", _like(text, h)).otherwise(_name(kind, text, attempt, h)))
+
+    return _let(_digits([F.lit(key), kind, text, attempt.cast("string")], 2), of)
 
 
 def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
@@ -144,31 +164,33 @@ def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
         now = cut(now.join(again.select("kind", "text"), ["kind", "text"], "left_anti").unionByName(moved))
 
 
+def mention_table(mentions: DataFrame, key: str) -> DataFrame:
+    """(mention, new) for distinct ``mentions`` (mention)."""
+    parts = mentions.select("mention", F.posexplode(_pieces(F.col("mention"))).alias("at", "p")).select("mention", "at", "p.kind", "p.text")
+    parts = cut(parts)
+    new = (parts.join(surrogate_table(parts.select("kind", "text"), key), ["kind", "text"]).groupBy("mention")
+           .agg(F.array_sort(F.collect_list(F.struct("at", "kind", "surrogate"))).alias("new")))
+    joined = F.array_join(F.col("new.surrogate"), " ")
+    is_name = F.col("new")[0]["kind"].isin("surname", "given_m", "given_f")
+    return new.select("mention", F.when(is_name, F.concat_ws(" ", F.substring_index("mention", " ", 1), joined)).otherwise(joined).alias("new"))
+
+
 def replace_entities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: str = "surrogate-key") -> DataFrame:
     """(row, n_entities): ``docs`` as a struct with the entities of its text replaced."""
-    row = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
-    rows = docs.select(row)
     text = F.col(f"row.{text_col}")
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"))
     hinted = F.coalesce(text.rlike(HINT), F.lit(False))
-    found_in = rows.filter(hinted).withColumn("mentions", F.regexp_extract_all(text, F.lit(f"({ANY})"), F.lit(1)))
-    plain = (rows.filter(~hinted).select("row").unionByName(found_in.filter(F.size("mentions") == 0).select("row"))
-             .select("row", F.lit(0).cast("long").alias("n_entities")))
-    held = found_in.filter(F.size("mentions") > 0)
-    found = cut(held.select(F.col(f"row.{id_col}").alias("id"), F.explode(F.array_distinct("mentions")).alias("mention")).distinct())
-    pieces = found.select("id", F.explode(_pieces(F.col("mention"))).alias("p")).select("id", "p.kind", "p.text").distinct()
-    names = surrogate_table(pieces, key)
-    table_ = (pieces.join(names, ["kind", "text"]).groupBy("id")
-              .agg(F.collect_list(F.struct(F.concat_ws(" ", "kind", "text").alias("k"), F.col("surrogate").alias("v"))).alias("pairs")))
-    joined = held.join(table_, F.col(f"row.{id_col}").eqNullSafe(F.col("id")))
-    swap = lambda p: F.get(F.filter("pairs", lambda x: x["k"] == F.concat_ws(" ", p["kind"], p["text"])), F.lit(0))["v"]
-
-    def new(m):
-        swapped = F.array_join(F.transform(_pieces(m), swap), " ")
-        return F.when(_kind(m) == "name", F.concat_ws(" ", F.substring_index(m, " ", 1), swapped)).otherwise(swapped)
-
-    between = F.split(F.col(f"row.{text_col}"), ANY, -1)
-    whole = F.array_join(F.zip_with(between, F.transform("mentions", new), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    return plain.unionByName(joined.select(F.col("row").withField(text_col, whole).alias("row"), F.size("mentions").cast("long").alias("n_entities")))
+    doc = F.sha2(F.concat_ws("|", F.col(f"row.{id_col}").cast("string"), text), 256).alias("doc")
+    plain = rows.filter(~hinted).select("row", F.lit(0).cast("long").alias("n_entities"))
+    found = cut(rows.filter(hinted).select(doc, F.posexplode(F.regexp_extract_all(text, F.lit(f"({ANY})"), F.lit(1))).alias("at", "mention"))
+                .distinct())
+    news = mention_table(found.select("mention").distinct(), key)
+    by_doc = found.join(news, "mention").groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("at", "new"))).alias("news"))
+    joined = rows.filter(hinted).select("row", doc).join(by_doc, "doc", "left")
+    between = F.split(text, ANY, -1)
+    whole = F.array_join(F.zip_with(between, F.col("news.new"), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    changed = F.col("row").withField(text_col, F.when(F.col("news").isNotNull(), whole).otherwise(text))
+    return plain.unionByName(joined.select(changed.alias("row"), F.coalesce(F.size("news"), F.lit(0)).cast("long").alias("n_entities")))
 
 
 def op2_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
