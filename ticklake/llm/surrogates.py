@@ -152,11 +152,10 @@ def surrogate(kind: Column, text: Column, attempt: Column, key: str) -> Column:
 def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
     """(kind, text, surrogate) for distinct ``entities`` (kind, text): no surrogate twice, none an entity itself."""
     kind, text = F.col("kind"), F.col("text")
-    known = cut(entities.select("kind", "text").distinct())
-    now = cut(known.withColumn("attempt", F.lit(0)).withColumn("surrogate", surrogate(kind, text, F.col("attempt"), key)))
+    now = cut(entities.select("kind", "text", F.lit(0).alias("attempt")).distinct().withColumn("surrogate", surrogate(kind, text, F.col("attempt"), key)))
+    real = now.select("kind", F.col("text").alias("surrogate"), F.lit(True).alias("real"))
     while True:
         first = Window.partitionBy("kind", "surrogate").orderBy("attempt", "text")
-        real = known.select("kind", F.col("text").alias("surrogate"), F.lit(True).alias("real"))
         marked = now.withColumn("rank", F.row_number().over(first)).join(real, ["kind", "surrogate"], "left")
         again = cut(marked.filter("rank > 1 or real").select("kind", "text", (F.col("attempt") + 1).alias("attempt")))
         if again.isEmpty():
@@ -168,7 +167,6 @@ def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
 def mention_table(mentions: DataFrame, key: str) -> DataFrame:
     """(mention, new) for distinct ``mentions`` (mention)."""
     parts = mentions.select("mention", F.posexplode(_pieces(F.col("mention"))).alias("at", "p")).select("mention", "at", "p.kind", "p.text")
-    parts = cut(parts)
     new = (parts.join(surrogate_table(parts.select("kind", "text"), key), ["kind", "text"]).groupBy("mention")
            .agg(F.array_sort(F.collect_list(F.struct("at", "kind", "surrogate"))).alias("new")))
     joined = F.array_join(F.col("new.surrogate"), " ")
@@ -183,10 +181,9 @@ def replace_entities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     hinted = F.coalesce(text.rlike(HINT), F.lit(False))
     doc = F.sha2(F.concat_ws("|", F.col(f"row.{id_col}").cast("string"), text), 256).alias("doc")
     plain = rows.filter(~hinted).select("row", F.lit(0).cast("long").alias("n_entities"))
-    found = cut(rows.filter(hinted).select(doc, F.posexplode(F.regexp_extract_all(text, F.lit(f"({ANY})"), F.lit(1))).alias("at", "mention"))
-                .distinct())
+    found = cut(rows.filter(hinted).select(doc, F.posexplode(F.regexp_extract_all(text, F.lit(f"({ANY})"), F.lit(1))).alias("at", "mention")))
     news = mention_table(found.select("mention").distinct(), key)
-    by_doc = found.join(news, "mention").groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("at", "new"))).alias("news"))
+    by_doc = found.join(news, "mention").groupBy("doc").agg(F.array_sort(F.collect_set(F.struct("at", "new"))).alias("news"))
     joined = rows.filter(hinted).select("row", doc).join(by_doc, "doc", "left")
     between = F.split(text, ANY, -1)
     whole = F.array_join(F.zip_with(between, F.col("news.new"), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
