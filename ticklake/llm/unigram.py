@@ -196,7 +196,7 @@ class UnigramModel:
         while at < len(order):
             end = at + 1
             size = len(parts[order[at]])
-            while end < len(order) and end - at < 20_000 and len(parts[order[end]]) <= _IN_STEP and size < 1_000_000:
+            while end < len(order) and end - at < 20_000 and len(parts[order[end]]) <= _IN_STEP and size < 250_000:
                 size += len(parts[order[end]])
                 end += 1
             ids, count = self._viterbi([parts[i] for i in order[at:end]])
