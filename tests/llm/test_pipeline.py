@@ -64,3 +64,15 @@ def test_stages_on_odd_rows(spark):
         out = stage(spark, docs, SF).collect()
         assert len(out) <= len(rows) and (name == "language_id" or out)
         assert stage(spark, docs.limit(0), SF).collect() == []
+
+
+def test_one_of_many_copies_stays(spark):
+    own = ["a long look at rivers", "where herons fish at dawn", "and boats come home late"]
+    rows = [(i, "\n".join(own)) for i in range(20)]
+    rows += [(100 + i, f"{w} {w} stands here\nShare this page with friends") for i, w in enumerate("ash elm oak fir yew bay fig gum box sal ivy nut".split())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    lines = corpus_pipeline.line_dedup(spark, docs, SF)
+    text = {r["doc_id"]: r["text"] for r in lines.collect()}
+    assert len(text) == 32 and not any("Share" in t for t in text.values())
+    kept = corpus_pipeline.simhash_near_dedup(spark, lines, SF).filter("doc_id < 100").collect()
+    assert [r["text"] for r in kept] == ["\n".join(own)]
