@@ -2,7 +2,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from ticklake.llm.surrogates import op2_surrogates, replace_entities, surrogate_table
+from ticklake.llm.surrogates import HINT, PATTERNS, op2_surrogates, replace_entities, surrogate_table
 
 SF = "/root/testdata/sf0.001"
 
@@ -63,3 +63,20 @@ def test_query_keeps_what_is_not_an_entity(spark):
 def test_native_plan(spark):
     plan = replace_entities(spark.createDataFrame([(1, "a@b.co")], "doc_id int, text string")).select(F.col("row.*"))
     assert "Python" not in plan._jdf.queryExecution().toString()
+
+
+def test_every_pattern_passes_the_hint(spark):
+    samples = {
+        "email": ["a@b.co", "_@x-y.z"], "ip": ["1.2.3.4", "97.51.17.173"], "secret": [f"{k}= abcdefghijklmnopqr" for k in ("token", "secret", "password", "api_key", "apikey")],
+        "phone": ["+49 30 12 34 56 78", "+33 12 34 56 78", "+41-44-66-81-80", "+1 23 45", "(30) 123 456", "555-123-4567"],
+        "card": ["12 34 56 78 12 34 56 78", "1-2-3-4-5-6-7-8-9-0-1-2-3", "4845168114407329", "4111 1111 1111 1111"],
+        "name": [f"{t} {n}" for t, n in (("Mr", "Li"), ("Herr", "Li"), ("Monsieur", "Li"), ("Señor", "Li"), ("Sr.", "Li"), ("Господин", "Ив"), ("Κύριος", "Νι"), ("Mrs", "Li"),
+                                         ("Ms", "Li"), ("Miss", "Li"), ("Frau", "Li"), ("Madame", "Li"), ("Mme", "Li"), ("Señora", "Li"), ("Sra", "Li"), ("Госпожа", "Ив"), ("Κυρία", "Νι"))],
+    }
+    assert set(samples) == set(PATTERNS)
+    for kind, texts in samples.items():
+        found = spark.createDataFrame([(t,) for t in texts], "t string").select("t", F.col("t").rlike(PATTERNS[kind]), F.col("t").rlike(HINT)).collect()
+        assert [r for r in found if not (r[1] and r[2])] == []
+    alone = [(i, t, None) for i, t in enumerate(samples["phone"] + samples["card"])]
+    got = replace_entities(spark.createDataFrame(alone, "doc_id int, text string, x string")).select("row.*", "n_entities").collect()
+    assert all(r["n_entities"] == 1 and r["text"] != alone[r["doc_id"]][1] for r in got)

@@ -43,7 +43,8 @@ PATTERNS = {
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 # What a text with an entity has in any case; far cheaper to look for, as most characters begin none of it.
-HINT = (r"(?=[@0-9tspaMHFSГΚ])(?:@|[0-9]\.[0-9]|[0-9]{3}|token|secret|password|api_?key|"
+# A telephone number has a '+' and a digit or three digits in a row, a card number thirteen digits with at most one separator between.
+HINT = (r"(?=[@0-9+tspaMHFSГΚ])(?:@|[0-9]\.[0-9]|[0-9]{3}|\+[0-9]|[0-9](?:[ -]?[0-9]){12}|token|secret|password|api_?key|"
         rf"(?:{TITLES_M}|{TITLES_F})\.? \p{{Lu}})")
 # Syllables of made-up names by script, and how given names of either gender end.
 SYLLABLES = {"latin": "ba ce di fo gu ha je ki lo mu na pe ri so tu va we xi yo zu".split(),
