@@ -80,3 +80,15 @@ def test_every_pattern_passes_the_hint(spark):
     alone = [(i, t, None) for i, t in enumerate(samples["phone"] + samples["card"])]
     got = replace_entities(spark.createDataFrame(alone, "doc_id int, text string, x string")).select("row.*", "n_entities").collect()
     assert all(r["n_entities"] == 1 and r["text"] != alone[r["doc_id"]][1] for r in got)
+
+
+def test_ends_where_an_entity_has_no_other_form(spark):
+    rows = [(1, "password: ________________"), (2, "mail _@-.- or _@x.com"), (3, "password: _______________7")]
+    got = {r["doc_id"]: (r["text"], r["n_entities"]) for r in replace_entities(spark.createDataFrame(rows, "doc_id int, text string")).select("row.*", "n_entities").collect()}
+    assert got[1] == (rows[0][1], 0) and got[2][1] == 2 and "_@-.-" not in got[2][0] and "_@x.com" not in got[2][0]
+    assert got[3][1] == 1 and got[3][0] != rows[2][1]
+    # every text of a form is an entity, so that none is free
+    full = [("phone", f"+1 {i:02} {j:02}") for i in range(100) for j in range(100)] + [("secret", str(i)) for i in range(10)] + [("secret", "_" * 16)]
+    made = surrogate_table(spark.createDataFrame(full, "kind string, text string"), "k").collect()
+    pairs = {(r["kind"], r["surrogate"]) for r in made}
+    assert len(made) == len(full) == len(pairs) and not pairs & set(full)

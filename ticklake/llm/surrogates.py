@@ -10,14 +10,16 @@ same surrogate after any form of address.
 
 Collision check: a surrogate that two entities share, or that is itself an
 entity of the corpus, is given up by all but the first (by text) and derived
-anew with the next attempt, until none is left. Equal entities therefore stay
+anew with the next attempt, until none is left; from the fifth attempt on it
+grows, so that this ends where a form has few texts. Equal entities therefore stay
 equal and different ones different throughout the corpus.
 
 Scale: surrogates are worked out once for each distinct entity, replaced
 mentions go back to their documents by their position in them; texts without a
 hint of an entity are not shuffled at all.
 
-Defined cases: a null text stays null, an empty one empty; entities are matched
+Defined cases: a null text stays null, an empty one empty; a secret has a letter
+or digit, so that a row of underscores is none; entities are matched
 in whole texts of any length; ids need not be distinct, and a null id is an id
 like any other; extra columns stay.
 """
@@ -36,7 +38,7 @@ TITLES_F = r"(?:Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|Госпожа|Κυρί
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})(?![0-9]|\.[0-9])",
-    "secret": r"(?=[A-Za-z0-9_+/-]{16})(?<=(?:token|secret|password|api_key|apikey) ?[=:] ?[\"']?)[A-Za-z0-9_+/-]{16,}",
+    "secret": r"(?=[A-Za-z0-9_+/-]{16})(?=[_+/-]*+[A-Za-z0-9])(?<=(?:token|secret|password|api_key|apikey) ?[=:] ?[\"']?)[A-Za-z0-9_+/-]{16,}",
     "phone": r"(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}(?![0-9])|(?<![0-9-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![0-9-])",
     "card": r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])",
     "name": rf"(?<![\p{{L}}]){TITLES_M}\.? \p{{Lu}}{_LETTER}+(?: \p{{Lu}}{_LETTER}+)?|(?<![\p{{L}}]){TITLES_F}\.? \p{{Lu}}{_LETTER}+(?: \p{{Lu}}{_LETTER}+)?",
@@ -53,6 +55,10 @@ SYLLABLES = {"latin": "ba ce di fo gu ha je ki lo mu na pe ri so tu va we xi yo
 ENDINGS = {"latin": ("n", "lla"), "cyrillic": ("н", "на"), "greek": ("ς", "να")}
 
 
+# Attempts that keep the length of a surrogate; later ones make it longer, as short texts have few others of their form.
+_SAME_LENGTH = 4
+
+
 def _kind(mention: Column) -> Column:
     out = F.when(mention.rlike(f"^(?:{PATTERNS['email']})$"), "email").when(mention.rlike(f"^(?:{PATTERNS['ip']})$"), "ip")
     out = out.when(mention.rlike(r"^[0-9]([ -]?[0-9]){12,18}$"), "card").when(mention.rlike(r"^[0-9+(][0-9 ().-]+$"), "phone")
@@ -132,7 +138,12 @@ def _name(kind: Column, text: Column, attempt: Column, hashes: Column) -> Column
 
 
 def surrogate(kind: Column, text: Column, attempt: Column, key: str) -> Column:
-    """The replacement of an entity; another one for each attempt."""
+    """The replacement of an entity; another one for each attempt.
+
+    Texts with no other form of their own, and those whose forms run out, get a keyed token appended.
+    """
+    longer = F.greatest(attempt - (_SAME_LENGTH - 1), F.when(text.rlike("[A-Za-z0-9]"), 0).otherwise(8))
+    token = F.substring(F.sha2(F.concat_ws("|", F.lit(key), F.lit("token"), kind, text, attempt.cast("string")), 256), F.lit(1), longer)
     # an address: the local part of its own, the domain alike for all of a domain, its last label as it is
     domain, local = F.substring_index(text, "@", -1), F.substring_index(text, "@", 1)
     site, top = F.regexp_extract(domain, r"^(.*)\.[^.]*$", 1), F.substring_index(domain, ".", -1)
@@ -141,11 +152,11 @@ def surrogate(kind: Column, text: Column, attempt: Column, key: str) -> Column:
     def of(h):
         at = lambda i: F.get(h, F.lit(i))
         new_site = _let(_digits([F.lit(key), F.lit("domain"), F.lower(domain)], 1), lambda d: _like(site, d))
-        email = F.concat(_like(local, h), F.lit("@"), new_site, F.lit("."), top)
+        email = F.concat(_like(local, h), token, F.lit("@"), new_site, F.lit("."), top)
         ip = F.concat_ws(".", (at(0) % 223 + 1).cast("string"), *[(at(i) % 254 + 1).cast("string") for i in (1, 2, 3)])
-        phone = F.concat(country, _like(F.substring(text, F.length(country) + 1, F.length(text)), h))
+        phone = F.concat(country, _like(F.substring(text, F.length(country) + 1, F.length(text)), h), F.translate(token, "abcdef", "012345"))
         return (F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", _card(text, h)).when(kind == "phone", phone)
-                .when(kind == "secret", _like(text, h)).otherwise(_name(kind, text, attempt, h)))
+                .when(kind == "secret", F.concat(_like(text, h), token)).otherwise(_name(kind, text, attempt, h)))
 
     return _let(_digits([F.lit(key), kind, text, attempt.cast("string")], 2), of)
 
