@@ -76,3 +76,17 @@ def test_one_of_many_copies_stays(spark):
     assert len(text) == 32 and not any("Share" in t for t in text.values())
     kept = corpus_pipeline.simhash_near_dedup(spark, lines, SF).filter("doc_id < 100").collect()
     assert [r["text"] for r in kept] == ["\n".join(own)]
+
+
+def test_a_line_that_recurs_goes_at_any_size(spark):
+    words = [f"w{chr(97 + i // 8)}{chr(97 + i % 8)}" for i in range(60)]
+    for size in (20, 2000):
+        rows = []
+        for i in range(size):
+            line = list(words)
+            for k in (7, 11, 13) if i % 2 else ():  # other positions and other words in each variant
+                line[3 + i * k % 57] = "v" + "".join(chr(97 + int(c)) for c in str(i * 20 + k))
+            rows.append((i, "own " + "".join(chr(97 + int(c)) for c in str(i)) + " text\n" + " ".join(line)))
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        out = corpus_pipeline.line_dedup(spark, docs, SF).collect()
+        assert len(out) == size and not [r for r in out if " ".join(words) in r["text"]]

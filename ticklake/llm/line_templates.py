@@ -17,7 +17,9 @@ Defined cases: a null text stays null and has no lines; a blank line has no
 template and stays; line ends are ``\\n``; documents are told apart by id, so
 rows that repeat an id count once for a template, and each row loses the lines;
 rows with a null id count as one document; with ``copies_once`` (the pipeline)
-documents of equal text count once too; extra columns stay.
+documents of equal text count once too; with ``whole_lines`` (the pipeline) a
+masked line in ``min_docs`` documents is boilerplate whatever its leaf holds, so
+that this does not turn over with the number of edited variants; extra columns stay.
 """
 
 from __future__ import annotations
@@ -52,7 +54,7 @@ def recurring_lines(docs: DataFrame, **options) -> DataFrame:
 
 def _recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = 3,
                max_children: int = 8, min_docs: int = 10, min_fixed: float = 0.5,
-               copies_once: bool = False) -> tuple[DataFrame, DataFrame]:
+               copies_once: bool = False, whole_lines: bool = False) -> tuple[DataFrame, DataFrame]:
     """(id, line) of the lines that may recur, and the masked lines that do."""
     lines = _lines(docs, id_col, text_col, depth)
     if not copies_once:
@@ -68,6 +70,8 @@ def _recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     known = masked.join(fields, "leaf", "left").select(
         "line", F.array_join(F.when(F.col("fields").isNull(), F.split("masked", " ")).otherwise(F.transform(
             F.split("masked", " "), lambda t, i: F.when(F.array_contains("fields", i), F.lit(_FIELD)).otherwise(t))), " ").alias("template"))
+    if whole_lines:  # each masked line is a template of its own too, whatever the fields of its leaf
+        known = known.union(masked.select("line", "masked")).distinct()
     known = known.filter(F.size(F.filter(F.split("template", " "), lambda t: t != _FIELD)) >= min_fixed * F.size(F.split("template", " ")))
     known = cut(known.withColumn("key", F.xxhash64("template")))
     seen = near.drop("leaf", "masked").join(known.select("line", "key"), "line")
@@ -97,9 +101,10 @@ def without_recurring_lines(docs: DataFrame) -> DataFrame:
     """The documents left with text, their recurring lines taken out; columns as given.
 
     Copies count once for a template, so that lines of a text that is only copied
-    often stay, and a later stage can keep one of the copies.
+    often stay, and a later stage can keep one of the copies. A masked line that itself
+    recurs goes also where edited variants made its positions fields.
     """
-    rows = drop_recurring_lines(docs, copies_once=True)
+    rows = drop_recurring_lines(docs, copies_once=True, whole_lines=True)
     rows = rows.filter((F.col("n_dropped") == 0) | (F.trim(F.regexp_replace("row.text", r"\s+", " ")) != ""))
     return rows.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
