@@ -57,3 +57,21 @@ def test_learns_an_ordered_list(spark):
     assert wrong == 0
     first = decide([Rule((Condition("symbol_share", 0.5, True),)), Rule((Condition("symbol_share", 2.0, False),))])
     assert {(r["symbol_share"], r["rule"]) for r in df.withColumn("rule", first).collect()} == {(1.0, 1), (0.0, 2)}
+
+
+def labelled(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id int, bad int, distinct_share double, upper_share double")
+    for s in STATISTICS:
+        if s not in df.columns:
+            df = df.selectExpr("*", f"cast(doc_id % 5 as double) as {s}")
+    return df
+
+
+def test_rare_kinds_and_long_lists(spark):
+    # 12 bad rows in 4,000, below the first of 32 quantiles, and 12 above the last
+    rare = labelled(spark, [(i, int(i < 24), 0.1 + i / 1e4 if i < 12 else 0.2 + i / 5e3, 2.0 + i / 1e4 if 12 <= i < 24 else i / 5e3) for i in range(4000)])
+    assert rare.withColumn("rule", decide(learn(rare))).filter("(rule > 0) <> (bad = 1)").count() == 0
+    # 14 kinds, each between good rows
+    many = labelled(spark, [(i, int(i % 29 % 2), float(i % 29), 0.5) for i in range(2900)])
+    rules = learn(many)
+    assert len(rules) > 12 and many.withColumn("rule", decide(rules)).filter("(rule > 0) <> (bad = 1)").count() == 0

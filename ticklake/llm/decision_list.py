@@ -4,7 +4,9 @@ Statistics of every text are computed in place with array functions. From the
 labelled documents a decision list is learned by sequential covering: a rule
 grows by the threshold condition with the highest information gain over the
 growing part of the rows, is pruned on the other part, and the rows it covers
-leave before the next rule is learned. Each step is one Spark aggregate over the
+leave before the next rule is learned. Thresholds are quantiles over the rows
+left and over the bad ones among them; the chosen one is moved between its
+neighbours until no value lies between. Each step is one Spark aggregate over the
 labelled rows (counts by statistic and bin); only those counts, bounded by
 statistics times bins, reach the driver. The list is emitted as one ordered
 conditional expression.
@@ -107,66 +109,109 @@ def _bin(statistic: str, thresholds: list[float]) -> Column:
     return F.size(F.filter(F.array(*[F.lit(float(x)) for x in thresholds]), lambda x: F.col(statistic) > x))
 
 
-def _grow(rows: DataFrame, thresholds: dict[str, list[float]], max_conditions: int) -> list[Condition]:
-    conditions: list[Condition] = []
-    names = [s for s in STATISTICS if thresholds[s]]
+def _quantiles(rows: DataFrame, values: dict[str, Column], bins: int) -> dict[str, list[float]]:
+    """Distinct quantiles of each of ``values`` over the rows."""
+    found = rows.agg(*[F.percentile_approx(v, [i / bins for i in range(1, bins)], 10_000).alias(k) for k, v in values.items()]).first()
+    return {k: sorted(set(found[k] or [])) for k in values}
+
+
+def _thresholds(rows: DataFrame, bins: int) -> dict[str, list[float]]:
+    """Quantiles of each statistic over all rows and over the bad ones."""
+    cuts = _quantiles(rows, {**{f"all {s}": F.col(s) for s in STATISTICS}, **{f"bad {s}": F.when(F.col("bad") == 1, F.col(s)) for s in STATISTICS}}, bins)
+    return {s: sorted({*cuts[f"all {s}"], *cuts[f"bad {s}"]}) for s in STATISTICS}
+
+
+def _best(covered: DataFrame, thresholds: dict[str, list[float]], barred: set[tuple[str, bool]]) -> Condition | None:
+    """The condition with the highest gain, none of a ``barred`` (statistic, above)."""
+    names = [s for s in STATISTICS if thresholds.get(s)]
     if not names:
-        return []
-    for _ in range(max_conditions):
+        return None
+    bins = F.array(*[F.struct(F.lit(i).alias("s"), _bin(s, thresholds[s]).alias("bin")) for i, s in enumerate(names)])
+    counts = covered.select("bad", F.explode(bins).alias("b")).groupBy("b.s", "b.bin").agg(
+        F.sum("bad").alias("p"), F.sum(1 - F.col("bad")).alias("n")).collect()
+    p0 = sum(r["p"] for r in counts if r["s"] == 0)
+    n0 = sum(r["n"] for r in counts if r["s"] == 0)
+    if not p0 or not n0:
+        return None
+    best, gain = None, 0.0
+    for i, s in enumerate(names):
+        held = {r["bin"]: (r["p"], r["n"]) for r in counts if r["s"] == i}
+        low_p = low_n = 0
+        for b, x in enumerate(thresholds[s]):
+            p, n = held.get(b, (0, 0))
+            low_p, low_n = low_p + p, low_n + n
+            for above, pp, nn in ((False, low_p, low_n), (True, p0 - low_p, n0 - low_n)):
+                if pp and (s, above) not in barred:
+                    g = pp * (math.log2(pp / (pp + nn)) - math.log2(p0 / (p0 + n0)))
+                    if g > gain + 1e-9:
+                        best, gain = Condition(s, x, above), g
+    return best
+
+
+def _refined(covered: DataFrame, best: Condition, thresholds: list[float], bins: int) -> Condition:
+    """``best`` with its threshold moved between its neighbours, until no value lies between."""
+    s, known = best.statistic, thresholds
+    while True:
+        at = known.index(best.threshold)
+        low, high = known[at - 1] if at else -math.inf, known[at + 1] if at + 1 < len(known) else math.inf
+        between = covered.filter((F.col(s) > low) & (F.col(s) < high) & (F.col(s) != best.threshold))
+        new = _quantiles(between, {s: F.col(s)}, bins)[s]
+        if not new:
+            return best
+        known = sorted({*new, best.threshold, *(x for x in (low, high) if math.isfinite(x))})
+        best = _best(covered, {s: known}, {(s, not best.above)}) or best
+
+
+def _grow(rows: DataFrame, thresholds: dict[str, list[float]], bins: int, max_conditions: int | None, barred: set[tuple[str, bool]]) -> list[Condition]:
+    """Conditions of a rule, the first none of ``barred``; each leaves fewer rows, until none gains."""
+    conditions: list[Condition] = []
+    while max_conditions is None or len(conditions) < max_conditions:
         covered = rows.filter(F.col("growing") & Rule(tuple(conditions)).column())
-        bins = F.array(*[F.struct(F.lit(i).alias("s"), _bin(s, thresholds[s]).alias("bin")) for i, s in enumerate(names)])
-        counts = covered.select("bad", F.explode(bins).alias("b")).groupBy("b.s", "b.bin").agg(
-            F.sum("bad").alias("p"), F.sum(1 - F.col("bad")).alias("n")).collect()
-        p0 = sum(r["p"] for r in counts if r["s"] == 0)
-        n0 = sum(r["n"] for r in counts if r["s"] == 0)
-        if not p0 or not n0:
-            break
-        best, gain = None, 0.0
-        for i, s in enumerate(names):
-            held = {r["bin"]: (r["p"], r["n"]) for r in counts if r["s"] == i}
-            low_p = low_n = 0
-            for b, x in enumerate(thresholds[s]):
-                p, n = held.get(b, (0, 0))
-                low_p, low_n = low_p + p, low_n + n
-                for above, pp, nn in ((False, low_p, low_n), (True, p0 - low_p, n0 - low_n)):
-                    if pp:
-                        g = pp * (math.log2(pp / (pp + nn)) - math.log2(p0 / (p0 + n0)))
-                        if g > gain + 1e-9:
-                            best, gain = Condition(s, x, above), g
+        best = _best(covered, thresholds, set() if conditions else barred)
         if best is None:
             break
-        conditions.append(best)
+        conditions.append(_refined(covered, best, thresholds[best.statistic], bins))
     return conditions
 
 
-def learn(labelled: DataFrame, bins: int = 32, max_rules: int = 12, max_conditions: int = 4,
+def learn(labelled: DataFrame, bins: int = 32, max_rules: int | None = None, max_conditions: int | None = None,
           min_precision: float = 0.9, min_covered: int = 5) -> list[Rule]:
     """An ordered list of rules for ``bad`` = 1. ``labelled``: doc_id, bad (0 or 1) and STATISTICS.
 
-    Every labelled row is used; the arguments bound the size of the list only.
+    Every labelled row is used. A rule that covers too little or is too often wrong
+    is followed by the best one with another first condition; the list ends when
+    none of these passes. ``max_rules`` and ``max_conditions`` bound it only if given.
     """
     rows = cut(labelled.withColumn("growing", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 > 0, F.lit(True))))
-    cuts = rows.agg(*[F.percentile_approx(s, [i / bins for i in range(1, bins)], 10_000).alias(s) for s in STATISTICS]).first()
-    thresholds = {s: sorted(set(cuts[s] or [])) for s in STATISTICS}
     rules: list[Rule] = []
-    while len(rules) < max_rules:
-        grown = _grow(rows, thresholds, max_conditions)
-        if not grown:
+    while max_rules is None or len(rules) < max_rules:
+        # with fewer bad rows left no rule can pass
+        if (rows.agg(F.sum("bad")).first()[0] or 0) < max(1, min_precision * min_covered):
             break
-        heads = [Rule(tuple(grown[:k])) for k in range(1, len(grown) + 1)]
-        got = rows.agg(*[F.sum(F.when(r.column() & part, x)).alias(f"{name}{k}") for k, r in enumerate(heads)
-                         for name, part, x in (("p", ~F.col("growing"), F.col("bad")), ("n", ~F.col("growing"), 1 - F.col("bad")),
-                                               ("a", F.lit(True), F.col("bad")), ("b", F.lit(True), 1 - F.col("bad")))]).first()
-        value = lambda k: ((got[f"p{k}"] or 0) - (got[f"n{k}"] or 0)) / max(1, (got[f"p{k}"] or 0) + (got[f"n{k}"] or 0))  # noqa: E731, B023
-        k = max(range(len(heads)), key=lambda k: (value(k), -k))
-        p, n = got[f"a{k}"] or 0, got[f"b{k}"] or 0
-        if p + n < min_covered or p < min_precision * (p + n):
+        thresholds, barred, rule = _thresholds(rows, bins), set(), None
+        while rule is None and (grown := _grow(rows, thresholds, bins, max_conditions, barred)):
+            rule = _pruned(rows, grown, min_precision, min_covered)
+            barred.add((grown[0].statistic, grown[0].above))
+        if rule is None:
             break
-        rules.append(heads[k])
-        rows = rows.filter(~heads[k].column())
+        rules.append(rule)
+        rows = rows.filter(~rule.column())
     return rules
 
 
+def _pruned(rows: DataFrame, grown: list[Condition], min_precision: float, min_covered: int) -> Rule | None:
+    """The head of ``grown`` that does best on the other part of the rows, of those that pass on all."""
+    heads = [Rule(tuple(grown[:k])) for k in range(1, len(grown) + 1)]
+    got = rows.agg(*[F.sum(F.when(r.column() & part, x)).alias(f"{name}{k}") for k, r in enumerate(heads)
+                     for name, part, x in (("p", ~F.col("growing"), F.col("bad")), ("n", ~F.col("growing"), 1 - F.col("bad")),
+                                           ("a", F.lit(True), F.col("bad")), ("b", F.lit(True), 1 - F.col("bad")))]).first()
+    number = lambda name, k: got[f"{name}{k}"] or 0
+    value = lambda k: (number("p", k) - number("n", k)) / max(1, number("p", k) + number("n", k))
+    covers = lambda k: number("a", k) + number("b", k)
+    passing = [k for k in range(len(heads)) if covers(k) >= min_covered and number("a", k) >= min_precision * covers(k)]
+    return heads[max(passing, key=lambda k: (value(k), -k))] if passing else None
+
+
 def judge(statistics: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """``statistics`` with base_failed, rule (0: none holds) and kept; ``labels``: doc_id, quality (1: good)."""
     base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
