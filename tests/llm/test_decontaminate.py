@@ -72,3 +72,15 @@ def test_blocks_and_removal(spark):
             gone = {i for a, e in r["spans"] for i in range(a, e)}
             assert normalised_words(cut[r["doc_id"]]) == [x for i, x in enumerate(w) if i not in gone]
     assert decontaminate(d.limit(0), b).collect() == [] and decontaminate(d, b.limit(0)).count() == len(docs)
+
+
+def test_items_without_an_id_still_hit(spark):
+    words = [" ".join(f"{c}{i}" for i in range(12)) for c in "abc"]
+    items = spark.createDataFrame([(None, words[0]), (None, words[1]), (7, words[2]), (8, None)], "item_id int, text string")
+    docs = spark.createDataFrame([(1, f"{words[0]} x {words[1]}"), (2, f"{words[0]} {words[2]}"), (3, "free of it")], "doc_id int, text string")
+    for size in (200_000, 12):
+        got = {r["doc_id"]: r["h"] for r in find_hits(docs, items, out="h", max_block_words=size).collect()}
+        assert [[list(s) for s in got[i]["spans"]] for i in (1, 2, 3)] == [[[0, 12], [13, 25]], [[0, 24]], []]
+        # as in the SQL, which counts a null id as one item
+        assert [got[i]["items"] for i in (1, 2, 3)] == [[None], ["7", None], []]
+        assert [r["doc_id"] for r in decontaminate(docs, items, max_block_words=size).collect()] == [3]

@@ -2,14 +2,15 @@
 
 The normalised words of the test items are put into generalised suffix automata,
 one for each block of items (``max_block_words`` words at most, so what is
-broadcast has a fixed bound however many items there are; blocks are streamed
-one after the other). A document's words stream through an automaton, which
+broadcast and what the driver holds have a fixed bound however many items there
+are; blocks are written as a table and streamed one after the other). A document's words stream through an automaton, which
 keeps the longest match that ends at each word. A match of ``window`` words, or
 of a whole shorter item, is a hit; the hit words form spans, which are cut from
 the text. A document whose hit words exceed ``max_coverage`` of its words goes.
 
 Defined cases: a null or blank text has no words and no hits; a null or blank
-item has no window; repeated items and rows count as they are, item ids once;
+item has no window; repeated items and rows count as they are, item ids once,
+all null ones as one null id;
 no items or no documents give results without hits; extra columns are kept.
 """
 
@@ -143,19 +144,25 @@ def _union(a: list, b: list) -> list[list[int]]:
     return out
 
 
-def build_blocks(items: DataFrame, id_col: str, text_col: str, window: int, max_block_words: int) -> list[bytes]:
-    """Pickled automata, built in tasks, one for each block of items."""
+def _by_id(item: str | None) -> tuple[bool, str]:
+    """Order of item ids; a null one comes last."""
+    return item is None, item or ""
+
+
+def build_blocks(items: DataFrame, id_col: str, text_col: str, window: int, max_block_words: int) -> DataFrame:
+    """(block, automaton): pickled automata, built in tasks, one for each block of items."""
     words = F.size(F.split(F.coalesce(F.col(text_col), F.lit("")), r"[^0-9A-Za-z\x{80}-\x{10FFFF}]+"))
     total = items.agg(F.sum(words)).first()[0] or 0
     blocks = 1 + total // max_block_words
 
     def build(x: pd.DataFrame) -> pd.DataFrame:
-        rows = sorted((str(i), normalised_words(t)) for i, t in zip(x["item"], x["text"]))
-        return pd.DataFrame({"automaton": [pickle.dumps(SuffixAutomaton(rows, window))]})
+        rows = [(i if isinstance(i, str) else None, normalised_words(t)) for i, t in zip(x["item"], x["text"])]
+        rows.sort(key=lambda r: (_by_id(r[0]), r[1]))
+        return pd.DataFrame({"block": [x["block"].iloc[0]], "automaton": [pickle.dumps(SuffixAutomaton(rows, window))]})
 
-    named = items.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).alias("text")).dropna()
-    named = named.withColumn("block", F.pmod(F.xxhash64("item"), F.lit(blocks)))
-    return [r[0] for r in named.groupBy("block").applyInPandas(build, "automaton binary").toLocalIterator()]
+    named = items.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).alias("text")).dropna(subset=["text"])
+    named = named.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(blocks).cast("long")))
+    return written(named.groupBy("block").applyInPandas(build, "block long, automaton binary"), "decontaminate-items")
 
 
 _HITS = "n_words long, longest int, items array<string>, spans array<array<int>>"
@@ -170,7 +177,7 @@ def _scanner(shared):
             s, i, n = automaton.scan(words)
             if items is not None:
                 s, i, n = _union(spans, s), i | set(items), max(n, int(longest))
-            rows.append((len(words), n, sorted(i), s))
+            rows.append((len(words), n, sorted(i, key=_by_id), s))
         return pd.DataFrame(rows, columns=["n_words", "longest", "items", "spans"])
 
     return scan
@@ -181,12 +188,16 @@ def find_hits(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id
     """``docs`` with ``out``: words, longest match, items hit and hit spans [first word, end)."""
     spark = docs.sparkSession
     found = docs.withColumn(out, F.lit(None).cast(StructType.fromDDL(_HITS)))
-    blocks = build_blocks(items, item_id, item_text, window, max_block_words) or [pickle.dumps(SuffixAutomaton([], window))]
-    for at, block in enumerate(blocks):
+    blocks = build_blocks(items, item_id, item_text, window, max_block_words)
+    numbers = sorted(r[0] for r in blocks.select("block").collect())
+    # one automaton at a time is on the driver; the numbers are few
+    for at, number in enumerate(numbers or [None]):
+        block = pickle.dumps(SuffixAutomaton([], window)) if number is None else bytes(blocks.filter(F.col("block") == number).first()["automaton"])
         shared = spark.sparkContext.broadcast(block)
         found = found.withColumn(out, F.pandas_udf(_scanner(shared), _HITS)(F.col(text_col), F.col(out)))
-        if at + 1 < len(blocks):
+        if at + 1 < len(numbers):
             found = written(found, "decontaminate")
+            shared.destroy()
     return found
 
 
