@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ticklake.llm import decision_list, decontaminate, html_text, langid, line_templates, repeats, revisits, simhash, surrogates, unigram
+from ticklake.llm import decision_list, decontaminate, html_text, langid, line_templates, merkle, repeats, revisits, simhash, surrogates, unigram
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,8 +21,9 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_id": langid.op8_language_id,
         "op9_line_templates": line_templates.op9_line_templates,
         "op10_simhash": simhash.op10_simhash,
+        "op12_merkle": merkle.op12_merkle,
     }
 
 
 def all_sql() -> dict[str, str]:
-    return {**revisits.SQL, **decontaminate.SQL, **line_templates.SQL}
+    return {**revisits.SQL, **decontaminate.SQL, **line_templates.SQL, **merkle.SQL}
