@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ticklake.llm import decision_list, decontaminate, html_text, langid, line_templates, merkle, repeats, revisits, simhash, surrogates, unigram
+from ticklake.llm import decision_list, decontaminate, html_text, langid, line_templates, merkle, mixing, repeats, revisits, simhash, surrogates, unigram
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +22,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_line_templates": line_templates.op9_line_templates,
         "op10_simhash": simhash.op10_simhash,
         "op12_merkle": merkle.op12_merkle,
+        "op13_mixing": mixing.op13_mixing,
     }
 
 
