@@ -19,13 +19,11 @@ hashes; an empty table gives no rows; texts of any length are hashed whole; othe
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.llm.common import running, table, written
+from ticklake.llm.common import CRC32_SQL, running, table, written
 
 FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
 FANOUT = 2
@@ -215,11 +213,6 @@ def manifest(leaves: DataFrame, id_col: str = "doc_id", fanout: int = FANOUT, sp
         f"`{id_col}` {of_id}, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean")
 
 
-#: The unsigned CRC-32 of a text of ASCII characters, for DuckDB; {0} is the text. A fixed polynomial.
-CRC32_SQL = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split({0}, ''), lambda x: CAST(ascii(x) AS BIGINT))),
-  lambda c, b: list_reduce(list_prepend(xor(c, b), CAST(range(8) AS BIGINT[])), lambda d, k: CASE WHEN d % 2 = 1 THEN xor(3988292384, d // 2) ELSE d // 2 END)))"""
-
-
 def _field_sql(c: str) -> str:
     return f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR) END"
 

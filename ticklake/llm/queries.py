@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ticklake.llm import decision_list, decontaminate, html_text, langid, line_templates, merkle, mixing, repeats, revisits, simhash, surrogates, unigram
+from ticklake.llm import conversation_repair, decision_list, decontaminate, html_text, langid, line_templates, merkle, mixing, repeats, revisits, simhash, surrogates, unigram
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,10 +21,11 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_id": langid.op8_language_id,
         "op9_line_templates": line_templates.op9_line_templates,
         "op10_simhash": simhash.op10_simhash,
+        "op11_conversation_repair": conversation_repair.op11_conversation_repair,
         "op12_merkle": merkle.op12_merkle,
         "op13_mixing": mixing.op13_mixing,
     }
 
 
 def all_sql() -> dict[str, str]:
-    return {**revisits.SQL, **decontaminate.SQL, **line_templates.SQL, **merkle.SQL}
+    return {**revisits.SQL, **decontaminate.SQL, **line_templates.SQL, **conversation_repair.SQL, **merkle.SQL}
