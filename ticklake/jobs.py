@@ -36,7 +36,7 @@ def parse_args(argv=None) -> argparse.Namespace:
     c = sub.add_parser("compact", help="compact past days with fragments")
     c.add_argument("--table", required=True)
     c.add_argument("--today", help="YYYY-MM-DD; default: today (UTC)")
-    c.add_argument("--rows-per-file", type=int, default=5_000_000)
+    c.add_argument("--target-mb", type=int, default=256, help="size that files are packed to")
     p.add_argument("--local", help="local master for trying it out, e.g. local[4]")
     return p.parse_args(argv)
 
@@ -52,7 +52,7 @@ def run(args: argparse.Namespace, spark=None):
         q.awaitTermination()
         return q.lastProgress
     today = date.fromisoformat(args.today) if args.today else datetime.now(timezone.utc).date()
-    return compact_table(spark, args.table, today=today, rows_per_file=args.rows_per_file)
+    return compact_table(spark, args.table, today=today, target_bytes=args.target_mb << 20)
 
 
 def main(argv=None) -> None:

@@ -1,214 +1,177 @@
-"""SNK4/SNK5: find fragmented tick partitions and compact them.
-
-Fragments are the per-batch files a stream leaves in
-``year=/month=/day=/product_id=/batch=``. Compaction rewrites a whole past
-day in one Spark job (all symbols at once): rows are range-partitioned by
-(symbol, time) into files of at most ``rows_per_file`` rows, so a hot symbol
-is split over several tasks and files instead of one. The new files are
-written to a staging folder and the row count is checked. Then, per symbol,
-the staged batch directory is moved in (carrying a note of the batches it
-replaces) and the old ones are deleted; an interrupted swap is finished by
-the next run from that note. Today is never touched.
+"""SNK4/SNK5: find symbol-days in many small files and rewrite them in few.
+
+Compaction reads a fixed list of batch directories of closed days, rewrites them in one Spark job under a staging folder,
+checks the row counts, and publishes each day by renaming one directory, the new batch. That rename is the commit. Before it,
+the names of the batches that the new one replaces are added to a small table, ``_folded`` (year, month, day, batch, into); a row of it holds
+once the directory of ``into`` is there. So
+
+* a replay of a folded batch is not added again: ``append_ticks`` leaves out the days for which its batch is folded;
+* a run that ends before the rename leaves the table as it was, and one that ends after it leaves directories that the next run
+  deletes and ``scan_ticks(..., settled=True)`` does not read;
+* batches that land meanwhile are in no list, so they stay.
+
+Today is never touched. A symbol-day of many bytes becomes several files, cut by time at approximate quantiles.
 """
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterable
 from datetime import date, datetime, timezone
-from urllib.parse import unquote
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.functions.params import day_bounds
 from ticklake.schema import PARTITION_COLUMNS, TICK_COLUMNS
-from ticklake.sources.scan import scan_ticks
-
-
-# Name of the note, inside a compacted batch directory, listing the batch
-# directories it replaces (hidden from readers by its leading underscore).
-REPLACES = "_replaces"
-
-
-def _write_text(fs, path, text: str) -> None:
-    out = fs.create(path, True)
-    try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
-
-
-def _read_text(spark: SparkSession, fs, path) -> str:
-    jvm = spark.sparkContext._jvm
-    stream = fs.open(path)
-    try:
-        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-
-
-def _roll_forward(spark: SparkSession, fs, day_path, jvm) -> int:
-    """Finish interrupted swaps: delete batches a compacted batch says it replaces."""
-    Path = jvm.org.apache.hadoop.fs.Path
-    removed = 0
-    for sym in fs.listStatus(day_path):
-        if not sym.isDirectory():
-            continue
-        for batch in fs.listStatus(sym.getPath()):
-            note = Path(batch.getPath(), REPLACES)
-            if batch.isDirectory() and fs.exists(note):
-                for name in filter(None, _read_text(spark, fs, note).split("\n")):
-                    victim = Path(sym.getPath(), name)
-                    if name != batch.getPath().getName() and fs.exists(victim):
-                        fs.delete(victim, True)
-                        removed += 1
-                # done: a left-over note must never meet a later batch
-                fs.delete(note, False)
-    return removed
+from ticklake.sources.layout import DAY_COLUMNS, WRITE_COLUMNS, day_path, days_of, exists, file_system, listing
+from ticklake.sources.scan import read_batches
+
+FOLDED = "_folded"
+FOLDED_SCHEMA = "year int, month int, day int, batch string, into string"
+STAGING = "_staging"
+TARGET_BYTES = 256 << 20
+#: A file below this share of the target is a fragment.
+FRAGMENT_SHARE = 0.25
+#: Days rewritten in one job; bounds the staging space.
+DAYS_A_JOB = 31
+_QUANTILES = 100
 
 
 # SNK5
-def fragmented_partitions(spark: SparkSession, root: str, min_files: int = 2) -> DataFrame:
-    """``year, month, day, product_id, files, bytes`` for partitions with ``min_files``+ files.
+def fragmented_partitions(spark: SparkSession, root: str, target_bytes: int = TARGET_BYTES, days=None) -> DataFrame:
+    """``year, month, day, product_id, files, bytes`` of symbol-days with more fragments than packing them would leave.
 
-    Lists files with the ``binaryFile`` source selecting only ``path`` and
-    ``length`` (file contents are never read), so no Parquet row is touched
-    and the count is a distributed aggregate over the file list.
+    A fragment is a file below a quarter of ``target_bytes``; larger files are finished and not counted. The numbers come from
+    the file listing; no row is read.
     """
-    files = (spark.read.format("binaryFile").option("basePath", root)
-             .option("pathGlobFilter", "*.parquet").load(root))
-    return (files.select(*PARTITION_COLUMNS, "path", "length")
-            .groupBy(*PARTITION_COLUMNS)
-            .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
-            .where(F.col("files") >= min_files))
+    small = listing(spark, root, days).filter(F.col("length") < FRAGMENT_SHARE * target_bytes)
+    found = small.groupBy(*PARTITION_COLUMNS).agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
+    return found.filter(F.col("files") > F.greatest(F.lit(1), F.ceil(F.col("bytes") / F.lit(target_bytes))))
+
+
+def folded(spark: SparkSession, root: str) -> DataFrame:
+    """The names of replaced batches, also those whose compaction was not published."""
+    path = f"{root.rstrip('/')}/{FOLDED}"
+    return spark.read.schema(FOLDED_SCHEMA).parquet(path) if exists(spark, path) else spark.createDataFrame([], FOLDED_SCHEMA)
+
+
+def folded_days(spark: SparkSession, root: str, batch: str) -> list[date]:
+    """The days for which ``batch`` is part of a published compaction."""
+    if not exists(spark, f"{root.rstrip('/')}/{FOLDED}"):
+        return []
+    rows = folded(spark, root).filter(F.col("batch") == batch).distinct().collect()
+    return sorted({date(r["year"], r["month"], r["day"]) for r in rows
+                   if exists(spark, f"{day_path(root, date(r['year'], r['month'], r['day']))}/batch={r['into']}")})
+
+
+def left_over(spark: SparkSession, root: str, days=None) -> DataFrame:
+    """``year, month, day, batch`` of directories that a published compaction replaces and that are still there."""
+    there = listing(spark, root, days).select(*DAY_COLUMNS, "batch").distinct()
+    replaced = folded(spark, root).join(there.withColumnRenamed("batch", "into"), [*DAY_COLUMNS, "into"], "left_semi")
+    return replaced.select(*DAY_COLUMNS, "batch").distinct().join(there, [*DAY_COLUMNS, "batch"], "left_semi")
+
 
+def _batch_path(root: str, r) -> str:
+    return f"{day_path(root, date(r['year'], r['month'], r['day']))}/batch={quote(r['batch'], safe='+-_.')}"
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf), p, jvm
 
+def _delete(spark: SparkSession, paths: Iterable[str]) -> int:
+    n = 0
+    for path in paths:
+        fs, p, _ = file_system(spark, path)
+        n += bool(fs.delete(p, True))
+    return n
 
-def _day_dir(root: str, d: datetime) -> str:
-    return f"{root.rstrip('/')}/year={d.year}/month={d.month}/day={d.day}"
+
+def _packed(rows: DataFrame, sizes: DataFrame, target_bytes: int) -> DataFrame:
+    """``rows`` dealt so that each symbol-day is one file, or several of about ``target_bytes`` that follow one another in time."""
+    files = F.greatest(F.lit(1), F.floor(F.col("bytes") / F.lit(target_bytes))).cast("int")
+    hot = sizes.withColumn("files", files).filter("files > 1").select(*PARTITION_COLUMNS, "files")
+    at = F.unix_micros("time")
+    quantiles = (rows.join(hot, PARTITION_COLUMNS, "left_semi").groupBy(*PARTITION_COLUMNS)
+                 .agg(F.percentile_approx(at, [i / _QUANTILES for i in range(1, _QUANTILES)], 10 * _QUANTILES).alias("q")))
+    cuts = quantiles.join(hot, PARTITION_COLUMNS).select(
+        *PARTITION_COLUMNS, F.expr(f"transform(sequence(1, files - 1), i -> q[greatest(cast(floor(i * {_QUANTILES} / files) as int) - 1, 0)])").alias("cuts"))
+    # a symbol-day without cuts is one file; a tick without a time goes to the first
+    chunk = F.coalesce(F.size(F.filter("cuts", lambda c: c <= at)), F.lit(0))
+    tasks = max(1, -(-int(sizes.agg(F.sum("bytes")).first()[0] or 0) // target_bytes))
+    return (rows.join(cuts, PARTITION_COLUMNS, "left").withColumn("_chunk", chunk).drop("cuts")
+            .repartition(tasks, *PARTITION_COLUMNS, "_chunk").sortWithinPartitions(*PARTITION_COLUMNS, "time", "sequence").drop("_chunk"))
+
+
+def _publish(spark: SparkSession, staged: str, final: str) -> None:
+    """One rename; the file system does it whole or not at all."""
+    fs, src, path_class = file_system(spark, staged)
+    dst = path_class(final)
+    if not fs.exists(dst.getParent()) or not fs.rename(src, dst):
+        raise OSError(f"could not move {staged}; the day is left as it was")
 
 
 # SNK4
-def compact_day(spark: SparkSession, root: str, day: date | datetime | str,
-                today: date | None = None, rows_per_file: int = 5_000_000,
-                staging: str | None = None, _stop_after_move: bool = False) -> dict:
-    """Compact every symbol of one past day; returns ``{rows, files_before, status}``.
+def compact_days(spark: SparkSession, root: str, days, today: date | None = None, target_bytes: int = TARGET_BYTES) -> dict[date, dict]:
+    """Rewrite the fragments of closed days in one job; ``{day: {status, rows, batch}}``.
 
-    ``_stop_after_move`` simulates a crash between moving a compacted batch in
-    and deleting the batches it replaces (tests only).
+    Batches without a fragment of a symbol-day that needs packing are left alone. ``status`` is ``compacted``, ``already-compact``, ``missing``
+    or ``skipped-today`` (today and later). Raises, with the table as it was, if the new files do not hold the same number of rows.
     """
-    start, _ = day_bounds(day)
-    if start.date() >= (today or datetime.now(timezone.utc).date()):
-        return {"status": "skipped-today", "rows": 0}
-    src_dir = _day_dir(root, start)
-    fs, src_path, jvm = _fs(spark, src_dir)
-    if not fs.exists(src_path):
-        return {"status": "missing", "rows": 0}
-    _roll_forward(spark, fs, src_path, jvm)
-    day_df = (scan_ticks(spark, root)
-              .where((F.col("year") == start.year) & (F.col("month") == start.month)
-                     & (F.col("day") == start.day)))
-    # the files of this frame are listed here, once: these are rewritten, and these alone deleted
-    read_dirs = {unquote(f.rsplit("/", 1)[0]).split(day_key, 1)[1] for day_key in [_day_dir("", start).lstrip("/") + "/"]
-                 for f in day_df.inputFiles() if day_key in unquote(f)}
-    file_col = F.col("_metadata.file_path")
-    batch_of = F.element_at(F.split(F.element_at(F.split(file_col, "/batch="), -1), "/"), 1)
-    stats = (day_df.select("product_id", batch_of.alias("b"), file_col.alias("f"))
-             .groupBy("product_id")
-             .agg(F.count(F.lit(1)).alias("n"), F.countDistinct("f").alias("files"),
-                  F.countDistinct("b").alias("batches"),
-                  F.min(F.col("b").startswith("c").cast("int")).alias("compacted"))
-             .agg(F.sum("n").alias("n"), F.sum("files").alias("files"),
-                  F.max("batches").alias("max_batches"), F.min("compacted").alias("compacted"))
-             .first())
-    n, files_before = int(stats["n"] or 0), int(stats["files"] or 0)
-    if n == 0:
-        return {"status": "empty", "rows": 0}
-    if stats["max_batches"] == 1 and stats["compacted"] == 1:
-        return {"status": "already-compact", "rows": n, "files_before": files_before}
-    n_parts = max(1, math.ceil(n / rows_per_file))
+    days, last = days_of(days), today or datetime.now(timezone.utc).date()
+    out = {d: {"status": "skipped-today", "rows": 0} for d in days if d >= last}
+    days = [d for d in days if d < last]
+    _delete(spark, [_batch_path(root, r) for r in left_over(spark, root, days).collect()])
+    files = listing(spark, root, days)
+    there = {date(r["year"], r["month"], r["day"]) for r in files.select(*DAY_COLUMNS).distinct().collect()}
+    out |= {d: {"status": "already-compact" if d in there else "missing", "rows": 0} for d in days}
+    fragments = (files.filter(F.col("length") < FRAGMENT_SHARE * target_bytes)
+                 .join(fragmented_partitions(spark, root, target_bytes, days), PARTITION_COLUMNS, "left_semi"))
+    batches = fragments.select(*DAY_COLUMNS, "batch").distinct().collect()  # one row for each directory to be rewritten
+    if not batches:
+        return out
     stamp = "c" + datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S%f")
-    stage_root = staging or f"{root.rstrip('/')}/_staging/{stamp}"
-    out = (day_df.select(*TICK_COLUMNS, "year", "month", "day")
-           .repartitionByRange(n_parts, *PARTITION_COLUMNS, "time", "sequence")
-           .sortWithinPartitions(*PARTITION_COLUMNS, "time", "sequence")
-           .withColumn("batch", F.lit(stamp)))
-    (out.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
-        .partitionBy(*PARTITION_COLUMNS, "batch").parquet(stage_root))
-    written = (scan_ticks(spark, stage_root)
-               .where((F.col("year") == start.year) & (F.col("month") == start.month)
-                      & (F.col("day") == start.day)).count())
-    if written != n:
-        raise RuntimeError(f"{written} of {n} rows rewritten; the day is left as it was")
-    # swap, per symbol: note the batches being replaced in the new batch
-    # directory, move it in, then delete the old ones. A crash after the move
-    # leaves both; the next run rolls forward from the note (``_roll_forward``).
-    Path = jvm.org.apache.hadoop.fs.Path
-    stage_day = _day_dir(stage_root, start)
-    sfs, stage_path, _ = _fs(spark, stage_day)
-    for sym_status in sfs.listStatus(stage_path):
-        sym_name = sym_status.getPath().getName()
-        dst_sym = Path(src_path, sym_name)
-        old = [st.getPath() for st in fs.listStatus(dst_sym)] if fs.exists(dst_sym) else []
-        old = [o for o in old if unquote(f"{sym_name}/{o.getName()}") in read_dirs]
-        if not fs.exists(dst_sym):
-            fs.mkdirs(dst_sym)
-        for staged_batch in sfs.listStatus(sym_status.getPath()):
-            _write_text(fs, Path(staged_batch.getPath(), REPLACES),
-                        "\n".join(o.getName() for o in old))
-            if not fs.rename(staged_batch.getPath(), Path(dst_sym, staged_batch.getPath().getName())):
-                raise OSError(f"could not move {staged_batch.getPath()}; nothing was deleted")
-        if _stop_after_move:
-            return {"status": "interrupted", "rows": n}
-        for o in old:
-            fs.delete(o, True)
-        for new_batch in fs.listStatus(dst_sym):
-            fs.delete(Path(new_batch.getPath(), REPLACES), False)
-    fs.delete(jvm.org.apache.hadoop.fs.Path(stage_root), True)
-    return {"status": "compacted", "rows": n, "files_before": files_before, "batch": stamp}
+    replaced = spark.createDataFrame([tuple(r) for r in batches], "year int, month int, day int, batch string")
+    rows = read_batches(spark, root, [_batch_path(root, r) for r in batches]).select(*TICK_COLUMNS, *DAY_COLUMNS)
+    sizes = files.join(replaced, [*DAY_COLUMNS, "batch"], "left_semi").groupBy(*PARTITION_COLUMNS).agg(F.sum("length").alias("bytes"))
+    stage = f"{root.rstrip('/')}/{STAGING}/{stamp}"
+    _packed(rows, sizes, target_bytes).withColumn("batch", F.lit(stamp)).write.partitionBy(*WRITE_COLUMNS).parquet(stage)
+
+    def counted(df: DataFrame) -> dict[date, int]:
+        return {date(r["year"], r["month"], r["day"]): r["n"] for r in df.groupBy(*DAY_COLUMNS).agg(F.count("*").alias("n")).collect()}
+
+    n, written = counted(rows), counted(read_batches(spark, stage, [stage]))
+    if n != written:
+        raise RuntimeError(f"{written} of {n} rows rewritten; the days are left as they were")
+    # what the replaced batches had replaced themselves is in the new one too
+    earlier = folded(spark, root).join(replaced.withColumnRenamed("batch", "into"), [*DAY_COLUMNS, "into"], "left_semi").select(*DAY_COLUMNS, "batch")
+    (replaced.unionByName(earlier).distinct().withColumn("into", F.lit(stamp)).coalesce(1)
+        .write.mode("append").parquet(f"{root.rstrip('/')}/{FOLDED}"))
+    for d in sorted(n):
+        _publish(spark, f"{day_path(stage, d)}/batch={stamp}", f"{day_path(root, d)}/batch={stamp}")
+        out[d] = {"status": "compacted", "rows": n[d], "batch": stamp}
+    _delete(spark, [_batch_path(root, r) for r in batches if date(r["year"], r["month"], r["day"]) in n])
+    _delete(spark, [stage])
+    return out
 
 
-def clean_staging(spark: SparkSession, root: str, max_age_hours: float = 24.0) -> int:
-    """Delete staging folders of interrupted compactions older than ``max_age_hours``.
+def compact_day(spark: SparkSession, root: str, day: date | datetime | str, today: date | None = None, target_bytes: int = TARGET_BYTES) -> dict:
+    """``compact_days`` for one day."""
+    return compact_days(spark, root, [day], today, target_bytes)[days_of([day])[0]]
 
-    Younger ones are left alone: they may belong to a compaction still running.
-    """
-    import time
 
-    fs, _, jvm = _fs(spark, root)
-    stage = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/_staging")
+def clean_staging(spark: SparkSession, root: str, max_age_hours: float = 24.0) -> int:
+    """Delete the staging folders of interrupted compactions older than ``max_age_hours``; younger ones may still be written."""
+    fs, stage, _ = file_system(spark, f"{root.rstrip('/')}/{STAGING}")
     if not fs.exists(stage):
         return 0
-    cutoff_ms = (time.time() - max_age_hours * 3600) * 1000
-    removed = 0
-    for st in fs.listStatus(stage):
-        if st.getModificationTime() <= cutoff_ms:
-            fs.delete(st.getPath(), True)
-            removed += 1
-    return removed
-
-
-def compact_table(spark: SparkSession, root: str, today: date,
-                  rows_per_file: int = 5_000_000, staging_max_age_hours: float = 24.0) -> list[dict]:
-    """SNK4 driver loop: compact every past day that has a fragmented partition.
-
-    Stale staging folders are removed first. The day list comes from
-    ``fragmented_partitions`` (a file-listing aggregate, one row per day
-    reaches the driver); each day is one job.
-    """
+    cutoff_ms = (datetime.now(timezone.utc).timestamp() - max_age_hours * 3600) * 1000
+    return _delete(spark, [st.getPath().toString() for st in fs.listStatus(stage) if st.getModificationTime() <= cutoff_ms])
+
+
+def compact_table(spark: SparkSession, root: str, today: date, target_bytes: int = TARGET_BYTES, staging_max_age_hours: float = 24.0) -> list[dict]:
+    """Compact every closed day that has a fragmented symbol-day, ``DAYS_A_JOB`` days a job; one result for each day."""
     clean_staging(spark, root, staging_max_age_hours)
-    days = (fragmented_partitions(spark, root)
-            .select("year", "month", "day").distinct()
-            .orderBy("year", "month", "day").collect())
-    out = []
-    for r in days:
-        d = date(int(r["year"]), int(r["month"]), int(r["day"]))
-        res = compact_day(spark, root, d, today=today, rows_per_file=rows_per_file)
-        out.append({"day": d.isoformat(), **res})
-    return out
+    old = left_over(spark, root).select(*DAY_COLUMNS)
+    rows = fragmented_partitions(spark, root, target_bytes).select(*DAY_COLUMNS).unionByName(old).distinct().orderBy(*DAY_COLUMNS).collect()
+    days = [date(*r) for r in rows]
+    out = {}
+    for at in range(0, len(days), DAYS_A_JOB):
+        out |= compact_days(spark, root, days[at:at + DAYS_A_JOB], today, target_bytes)
+    return [{"day": d.isoformat(), **r} for d, r in sorted(out.items())]

@@ -6,24 +6,37 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ticklake.functions.params import day_bounds, symbols_predicate, ts_literal, validate_symbols
 from ticklake.schema import TICK_TABLE_SCHEMA
+from ticklake.sources.layout import DAY_COLUMNS, day_paths
 
 
-def scan_ticks(spark: SparkSession, root: str, file_glob: str | None = "*.parquet") -> DataFrame:
-    """All tick files under ``root`` (``year=/month=/day=/product_id=`` layout).
-
-    The schema is fixed, never inferred; ``basePath`` makes the Hive keys
-    columns, so day and symbol predicates become ``PartitionFilters``.
-    """
+def read_batches(spark: SparkSession, root: str, paths: list[str], file_glob: str | None = "*.parquet") -> DataFrame:
+    """The files below ``paths``, listed now, with the keys of their directories under ``root`` as columns."""
+    if not paths:
+        return spark.createDataFrame([], T.StructType([*TICK_TABLE_SCHEMA.fields, T.StructField("batch", T.StringType())]))
     reader = spark.read.schema(TICK_TABLE_SCHEMA).option("basePath", root)
     if file_glob:
         reader = reader.option("pathGlobFilter", file_glob)
-    df = reader.parquet(root)
-    # the innermost ``batch=`` directory (stream batch / compaction stamp) is
-    # bookkeeping, not data
-    return df.drop("batch") if "batch" in df.columns else df
+    return reader.parquet(*paths)
+
+
+def scan_ticks(spark: SparkSession, root: str, days=None, settled: bool = False, file_glob: str | None = "*.parquet") -> DataFrame:
+    """The tick files under ``root`` (``year=/month=/day=/batch=/product_id=`` layout).
+
+    The schema is fixed, never inferred; ``basePath`` makes the Hive keys columns, so day and symbol predicates become
+    ``PartitionFilters``. With ``days`` (a day, an inclusive pair, or a list), only the directories of those days are
+    listed. ``settled`` leaves out batches that a compaction has replaced and not deleted yet.
+    """
+    df = read_batches(spark, root, day_paths(spark, root, days), file_glob)
+    if settled:
+        from ticklake.sources.compaction import left_over
+
+        df = df.join(left_over(spark, root, days), [*DAY_COLUMNS, "batch"], "left_anti")
+    # the ``batch=`` directory (a micro-batch or a compaction) is bookkeeping, not data
+    return df.drop("batch").select(*TICK_TABLE_SCHEMA.names)
 
 
 def _time_bound(ticks: DataFrame, start: datetime, end: datetime):

@@ -11,24 +11,28 @@ from pyspark.sql import functions as F
 from ticklake.schema import (
     INTEGER_COLUMNS, NUMERIC_COLUMNS, PARTITION_COLUMNS, RECEIVED_FORMAT, TICK_COLUMNS, TOPIC_PREFIX,
 )
+from ticklake.sources.layout import DAY_COLUMNS, WRITE_COLUMNS
 
 TIME_TEXT_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
 # SNK1
 def append_ticks(ticks: DataFrame, root: str, batch: str | None = None) -> None:
-    """Write typed ticks under ``root`` as ``year=/month=/day=/product_id=/batch=``.
-
-    ``batch`` names the innermost directory (a stream's batch id, or a
-    compaction stamp). With dynamic partition overwrite, writing the same
-    ``batch`` again replaces exactly its own directories, so a replayed
-    micro-batch does not duplicate rows. Without a name, a unique one is
-    made, so plain appends never replace each other. Rows are sorted by time within each
-    file so Parquet min/max statistics prune time ranges.
+    """Write typed ticks under ``root`` as ``year=/month=/day=/batch=/product_id=``.
+
+    ``batch`` names the write (a stream's batch id). With dynamic partition overwrite, writing the same ``batch`` again
+    replaces exactly its own directories, and days for which a compaction has taken it in are left out, so a replayed
+    micro-batch does not duplicate rows. Without a name, a unique one is made, so plain appends never replace each other.
+    Rows are sorted by time within each file so Parquet min/max statistics prune time ranges.
     """
-    out = ticks.select(*TICK_COLUMNS, "year", "month", "day")
+    from ticklake.sources.compaction import folded_days
+
+    out = ticks.select(*TICK_COLUMNS, *DAY_COLUMNS)
     if not batch:
         batch = "a" + datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S%f") + os.urandom(3).hex()
+    elif done := folded_days(ticks.sparkSession, root, batch):
+        days = ticks.sparkSession.createDataFrame([(d.year, d.month, d.day) for d in done], "year int, month int, day int")
+        out = out.join(days, DAY_COLUMNS, "left_anti")
     out = out.withColumn("batch", F.lit(batch))
     # REBALANCE: AQE groups rows by partition directory (few files per
     # directory) and splits a hot symbol-day over several tasks and files.
@@ -36,7 +40,7 @@ def append_ticks(ticks: DataFrame, root: str, batch: str | None = None) -> None:
         .sortWithinPartitions(*PARTITION_COLUMNS, "time", "sequence")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTITION_COLUMNS, "batch")
+        .partitionBy(*WRITE_COLUMNS)
         .parquet(root))
 
 
