@@ -24,11 +24,13 @@ from __future__ import annotations
 
 import itertools
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,7 +47,9 @@ _LITERAL = b"\xff"
 _ESCAPED = "\udfff"
 _IN_STEP = 64
 #: Characters of parts whose ids a task keeps at hand; beyond it they are dropped and found anew.
-_REMEMBERED = 4_000_000
+_REMEMBERED = 1_000_000
+#: Text whose ids and decodings a task holds at a time.
+_SLICE_BYTES = 1_000_000
 
 
 @dataclass
@@ -315,22 +319,48 @@ def decode(docs: DataFrame, model: UnigramModel, ids_col: str = "ids", out: str
     return docs.withColumn(out, text(F.col(ids_col)))
 
 
+def _slices(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows whose sizes sum up to ``most``, or of one row that is larger."""
+    at = 0
+    while at < len(sizes):
+        end = at + max(1, int(np.searchsorted(np.cumsum(sizes[at:]), most, side="right")))
+        yield at, end
+        at = end
+
+
 def encoded(docs: DataFrame, model_path: str = DEFAULT_MODEL, scores: str = "zipf") -> DataFrame:
-    """doc_id, ids, counts and whether decoding gives the text back."""
+    """doc_id, ids, counts and whether decoding gives the text back.
+
+    A task holds the ids and decoded texts of ``_SLICE_BYTES`` of text at a time (or of one longer text), however many rows
+    a batch has.
+    """
     model = UnigramModel.load(model_path, scores)
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    rows = docs.select("doc_id", F.length("text").cast("long").alias("n_chars"), "text")
+    of_id = rows.schema["doc_id"].dataType.simpleString()
 
     # one function for both directions, so that a text is encoded once
-    @F.pandas_udf("ids array<int>, n_byte_pieces long, round_trip boolean")
-    def both(text: pd.Series) -> pd.DataFrame:
-        m, ids, texts = shared.value, [], list(text)
-        for at in range(0, len(texts), 1000):
-            ids += m.encode_arrays(texts[at:at + 1000])
-        return pd.DataFrame({"ids": ids, "n_byte_pieces": [None if x is None else int(np.isin(x, m.byte_ids).sum()) for x in ids],
-                             "round_trip": [m.decode(None if x is None else x.tolist()) == t for x, t in zip(ids, texts)]})
-
-    rows = docs.select("doc_id", F.length("text").cast("long").alias("n_chars"), both("text").alias("x"))
-    return rows.select("doc_id", "n_chars", F.size("x.ids").cast("long").alias("n_pieces"), "x.n_byte_pieces", "x.round_trip", "x.ids")
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for b in batches:
+            text = b.column("text")
+            sizes = pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            for lo, hi in _slices(sizes, _SLICE_BYTES):
+                texts = text.slice(lo, hi - lo).to_pylist()
+                ids = m.encode_arrays(texts)
+                null = np.array([x is None for x in ids])
+                count = np.array([0 if x is None else len(x) for x in ids], np.int64)
+                flat = np.concatenate([x for x in ids if x is not None] or [np.zeros(0, np.int32)])
+                ends = np.cumsum(count)
+                byte = np.r_[0, np.cumsum(np.isin(flat, m.byte_ids))]
+                same = [t is None or m.decode(flat[e - n:e].tolist()) == t for t, e, n in zip(texts, ends.tolist(), count.tolist())]
+                offsets = pa.array(np.r_[0, ends].astype(np.int32), mask=np.r_[null, False])
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("doc_id").slice(lo, hi - lo), b.column("n_chars").slice(lo, hi - lo), pa.array(count, mask=null),
+                     pa.array(byte[ends] - byte[ends - count], mask=null), pa.array(same), pa.ListArray.from_arrays(offsets, pa.array(flat, pa.int32()))],
+                    ["doc_id", "n_chars", "n_pieces", "n_byte_pieces", "round_trip", "ids"])
+
+    return rows.mapInArrow(both, f"doc_id {of_id}, n_chars long, n_pieces long, n_byte_pieces long, round_trip boolean, ids array<int>")
 
 
 def op4_unigram(spark: SparkSession, sf_dir: str) -> DataFrame:
