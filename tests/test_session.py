@@ -1,6 +1,6 @@
 """The checkpoint root comes from the session; ours is used only when unset."""
 
-from ticklake.session import apply_query_conf, checkpoint_root, scratch_path
+from ticklake.session import checkpoint_root, scratch_path
 
 
 def test_checkpoint_root_from_session(spark):
@@ -10,8 +10,3 @@ def test_checkpoint_root_from_session(spark):
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a != b and a.startswith(root.replace("file:", ""))
 
-
-def test_query_conf(spark):
-    apply_query_conf(spark)
-    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
-    assert spark.conf.get("spark.sql.constraintPropagation.enabled") == "false"

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 from typing import Iterable
 
 from pyspark.sql import Column
@@ -72,8 +72,11 @@ def day_bounds(day: datetime | date | str) -> tuple[datetime, datetime]:
 def ts_literal(value: datetime | date | str, dtype: T.DataType) -> Column:
     """A timestamp literal of the same type as the column it is compared with.
 
-    Built from text so no Python-side time-zone conversion happens: NTZ text
-    is taken as is, LTZ text in the session time zone (UTC by default).
+    ``value`` is UTC if it says no zone, whatever the session's time zone.
     """
-    text = _as_datetime(value).isoformat(sep=" ")
-    return F.lit(text).cast(dtype)
+    moment = _as_datetime(value)
+    if moment.tzinfo is not None:
+        moment = moment.astimezone(timezone.utc).replace(tzinfo=None)
+    if isinstance(dtype, T.TimestampType):
+        return F.timestamp_micros(F.lit((moment - datetime(1970, 1, 1)) // timedelta(microseconds=1)))
+    return F.lit(moment.isoformat(sep=" ")).cast(dtype)

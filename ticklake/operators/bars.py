@@ -7,7 +7,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticklake.functions.timecols import bucket_of
+from ticklake.functions.timecols import bucket_of, type_of, utc_date
 from ticklake.operators.ordered import lag_chunked
 
 
@@ -31,7 +31,7 @@ def log_returns(bars: DataFrame, value: str = "price", out: str = "return") -> D
     edges, so no symbol's whole history lands in one task. A non-positive
     price gives NULL.
     """
-    day = F.date_trunc("day", F.col("bucket"))
+    day = bucket_of(bars, "day", "bucket")
     with_prev = lag_chunked(bars, ["product_id"], day, ["bucket"], [value], prefix="_prev_")
     p, q = F.col(value), F.col("_prev_" + value)
     ret = F.when((p > 0) & (q > 0), F.ln(p / q))
@@ -48,14 +48,15 @@ def bucket_means(ticks: DataFrame, columns: Sequence[str], keys: Sequence[str] =
 
 def with_calendar(means: DataFrame, keys: Sequence[str] = ("product_id",),
                   unit: str = "minute") -> DataFrame:
-    """Add the empty buckets between each key's first and last bucket (as NULLs).
+    """Add the empty buckets between each key's first and last bucket of a UTC day (as NULLs).
 
-    The spine is generated per key from its own min/max, so it is bounded by
-    the key's time span, not by the number of ticks.
+    The spine is generated per key and day from that day's own min/max, so
+    that an array has the buckets of one day at most, whatever the range.
     """
     keys = list(keys)
     step = F.expr(f"INTERVAL 1 {unit.upper()}")
-    spine = (means.groupBy(*keys)
+    day = utc_date(F.col("bucket"), type_of(means, "bucket"))
+    spine = (means.groupBy(*keys, day.alias("_day"))
              .agg(F.min("bucket").alias("_lo"), F.max("bucket").alias("_hi"))
              .select(*keys, F.explode(F.sequence("_lo", "_hi", step)).alias("bucket")))
     return spine.join(means, on=keys + ["bucket"], how="left")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ticklake.functions.side import normalize_side as _normalize_side
+from ticklake.functions.timecols import type_of, utc_date
 from ticklake.schema import (
     INTEGER_COLUMNS, MESSAGE_FIELDS, MESSAGE_SCHEMA, NUMERIC_COLUMNS, RECEIVED_FORMAT,
     TICK_COLUMNS, TICKER_TYPE, TOPIC_PREFIX,
@@ -87,20 +88,31 @@ def coerce_numeric(df: DataFrame, columns: Iterable[str] = NUMERIC_COLUMNS) -> D
 
 # ING7
 def parse_time(text: Column) -> Column:
-    """ISO-8601 text -> ``timestamp`` (UTC session zone), NULL if unparsable or without a date."""
-    return F.when(~text.rlike(r"^\s*[Tt]?[0-9]{1,2}:"), F.try_to_timestamp(text))
+    """ISO-8601 text -> ``timestamp``, UTC if it names no zone; NULL if unparsable or without a date."""
+    text = F.trim(text)
+    # with a zone of its own, a second one makes the text unparsable
+    named = F.concat(text, F.lit("Z")).try_cast("timestamp")
+    day = F.concat(text, F.lit("T00:00:00Z")).try_cast("timestamp")
+    parsed = F.when(text.endswith("Z"), text.try_cast("timestamp")).otherwise(F.coalesce(named, day, text.try_cast("timestamp")))
+    return F.when(~text.rlike(r"^[Tt]?[0-9]{1,2}:"), parsed)
+
+
+# ``RECEIVED_FORMAT`` as a pattern.
+_RECEIVED = r"^[0-9]{2}-[0-9]{2}-[0-9]{4} [0-9]{2}:[0-9]{2}:[0-9]{2}\.[0-9]{6}$"
 
 
 # ING8
 def parse_received(text: Column) -> Column:
     """``dd-MM-yyyy HH:mm:ss.SSSSSS`` text -> ``timestamp_ntz``, NULL if unparsable."""
-    return F.try_to_timestamp(text, F.lit(RECEIVED_FORMAT)).cast(T.TimestampNTZType())
+    part = lambda at, n: F.substring(text, at, n)
+    iso = F.concat(part(7, 4), F.lit("-"), part(4, 2), F.lit("-"), part(1, 2), F.lit(" "), part(12, 15))
+    return F.when(text.rlike(_RECEIVED), iso.try_cast(T.TimestampNTZType()))
 
 
 # ING9
 def derive_partition(df: DataFrame) -> DataFrame:
-    """``year/month/day`` from ``time``, or from ``recieved`` when ``time`` is NULL."""
-    d = F.coalesce(F.to_date(F.col("time")), F.to_date(F.col("recieved")))
+    """``year/month/day`` (UTC) from ``time``, or from ``recieved`` when ``time`` is NULL."""
+    d = F.coalesce(*[utc_date(F.col(c), type_of(df, c)) for c in ("time", "recieved")])
     return (df.withColumn("year", F.year(d)).withColumn("month", F.month(d))
               .withColumn("day", F.dayofmonth(d)))
 

@@ -5,7 +5,7 @@ task; a hot symbol holding a third of all ticks would then be one task.
 Here the order is cut into chunks (a column that grows with the order, such
 as the day or ``sequence // width``): ``lag`` runs per (key, chunk), and only
 the first row of each chunk takes its predecessor from the last row of the
-previous non-empty chunk, found on the small per-chunk table.
+previous non-empty chunk, in a second window over first and last rows alone.
 """
 
 from __future__ import annotations
@@ -26,30 +26,17 @@ def lag_chunked(df: DataFrame, keys: Sequence[str], chunk: Column | str,
     with a NULL chunk form their own chunk and take no predecessor from
     other chunks.
 
-    Plan: one shuffle of the rows on (keys, chunk) for the in-chunk ``lag``;
-    the last row of every chunk comes from an aggregate that combines
-    map-side, so only one row per chunk is shuffled for the fix-up, and that
-    small table is joined back on (keys, chunk).
+    Plan: one scan and one shuffle of the rows on (keys, chunk); the rows at the
+    ends of the chunks, two for each, come from the same shuffled rows and are
+    shuffled once more on the keys.
     """
     keys, order = list(keys), list(order)
-    chunk_col = F.col(chunk) if isinstance(chunk, str) else chunk
-    part = keys + ["_chunk"]
-    marked = df.withColumn("_chunk", chunk_col)
-    w_in = Window.partitionBy(*part).orderBy(*order)
-    main = marked
-    for v in values:
-        main = main.withColumn(prefix + v, F.lag(v).over(w_in))
-    main = main.withColumn("_first", F.lag(F.lit(1)).over(w_in).isNull())
-
-    last = (marked.groupBy(*part)
-            .agg(F.max_by(F.struct(*[F.col(v) for v in values]),
-                          F.struct(*[F.col(o) for o in order])).alias("_lastrow")))
-    w_chunks = Window.partitionBy(*keys).orderBy("_chunk")
-    edges = last.select(*part, *[F.lag(F.col("_lastrow")[v]).over(w_chunks).alias("_edge_" + v)
-                                 for v in values])
-    out = main.join(edges, on=part, how="left")
-    for v in values:
-        out = out.withColumn(
-            prefix + v,
-            F.when(F.col("_first"), F.col("_edge_" + v)).otherwise(F.col(prefix + v)))
-    return out.drop("_chunk", "_first", *["_edge_" + v for v in values])
+    marked = df.withColumn("_chunk", F.col(chunk) if isinstance(chunk, str) else chunk)
+    within = Window.partitionBy(*keys, "_chunk").orderBy(*order)
+    main = marked.withColumns({prefix + v: F.lag(v).over(within) for v in values})
+    main = main.withColumns({"_first": F.lag(F.lit(1)).over(within).isNull(), "_last": F.lead(F.lit(1)).over(within).isNull()})
+    # both parts need all columns, so that they share one exchange
+    ends = Window.partitionBy(*keys, F.col("_chunk").isNull()).orderBy("_chunk", *order)
+    edges = main.filter("_first or _last").withColumns({prefix + v: F.lag(v).over(ends) for v in values})
+    out = main.filter("not _first").unionByName(edges.filter("_first"))
+    return out.drop("_chunk", "_first", "_last")

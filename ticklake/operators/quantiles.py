@@ -1,100 +1,106 @@
-"""Exact quantiles (linear interpolation) without one task per group.
+"""Exact quantiles (linear interpolation) by narrowing brackets, without one task per group.
 
 ``percentile`` keeps every distinct value of a group in one aggregation
 buffer, so a group holding a third of the rows (or a column of unique values
-such as ``sequence``) ends in one task. Here:
-
-1. values are counted per (group, column, value), combined map-side;
-2. each group's value range is cut into equal-width chunks (their number
-   grows with the group's size, about ``values_per_chunk`` values each); a
-   running count per (group, column, chunk) plus the counts of all earlier
-   chunks (a small per-chunk table) gives every distinct value its rank span
-   ``[start, start + count)``;
-3. only values whose span holds one of the needed order statistics (at most
-   two per probability) are kept, and the quantile is interpolated as
-   ``v[lo] + (h - lo) * (v[lo + 1] - v[lo])`` with ``h = (n - 1) p``.
+such as ``sequence``) ends in one task. Here two passes read the values:
+
+1. one aggregate per group takes count, moments, extremes and, for each
+   probability, two approximate quantiles a little below and above it: a
+   bracket that holds the needed order statistics but for one rank;
+2. values inside a bracket are counted by value, those between the brackets
+   as one interval with its count and extremes. Both combine map-side, so a
+   task sends what lies in the brackets, a few ``1 / accuracy`` parts of
+   its values, and one row for each interval.
+
+Running counts over these few rows give each value and interval its rank span.
+An order statistic lies in a bracket, or is the next value beside it, an extreme
+of an interval. The quantile is ``v[lo] + (h - lo) * (v[lo + 1] - v[lo])`` with
+``h = (n - 1) p``. How the values are spread does not matter.
 """
 
 from __future__ import annotations
 
-from typing import Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ticklake.session import cut
+
+ACCURACY = 20_000
+#: Up to so many (group, column) rows of some hundred bytes, brackets go to every task; beyond it, Spark plans the join.
+BROADCAST_ROWS = 100_000
 
-def long_values(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """``keys..., column, value``: one row per non-NULL, non-NaN value."""
+
+def long_values(df: DataFrame, keys: Sequence[str], columns: Sequence[str], *more: str) -> DataFrame:
+    """``keys..., more..., column, value``: one row per non-NULL, non-NaN value."""
     cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
                       for c in columns])
-    return (df.select(*keys, F.inline(cells))
+    return (df.select(*keys, *more, F.inline(cells))
             .where(F.col("value").isNotNull() & ~F.isnan("value")))
 
 
-def exact_quantiles(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
-                    probs: Sequence[float], chunks: int | None = None,
-                    names: Sequence[str] | None = None, values_per_chunk: int = 1_000_000,
-                    max_chunks: int = 1 << 20) -> DataFrame:
-    """``keys..., column, <name per prob>``: exact linear-interpolated quantiles.
+def _first_pass(df: DataFrame, keys: list[str], columns: Sequence[str], probs: Sequence[float], accuracy: int) -> DataFrame:
+    """``keys..., column, count, mean, std, min, max, q``; q: the two ends of each bracket in turn."""
+    ends = [min(1.0, max(0.0, p + side * 2.0 / accuracy)) for p in probs for side in (-1, 1)]
+
+    def stats(c: str) -> Column:
+        v = F.col(c).cast("double")
+        v = F.when(~F.isnan(v), v)
+        return F.struct(F.lit(c).alias("column"), F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
+                        F.min(v).alias("min"), F.max(v).alias("max"), F.percentile_approx(v, ends, accuracy).alias("q"))
+
+    wide = df.groupBy(*keys).agg(*[stats(c).alias(f"_{i}") for i, c in enumerate(columns)])
+    return wide.select(*keys, F.inline(F.array(*[f"_{i}" for i in range(len(columns))]))).where("count > 0")
 
-    Each group's range is cut into ``ceil(n / values_per_chunk)`` chunks
-    (at most ``max_chunks``), so a chunk holds about ``values_per_chunk``
-    values whatever the group's size; ``chunks`` fixes the count instead.
+
+def summary(df: DataFrame, keys: Sequence[str], columns: Sequence[str], probs: Sequence[float], names: Sequence[str] | None = None,
+            accuracy: int = ACCURACY) -> DataFrame:
+    """``keys..., column, count, mean, std, min, <name per prob>, max``; the quantiles are exact.
+
+    ``keys`` hold no NULL. NULL and NaN values are not counted; a column without others has no row.
     """
     keys = list(keys)
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
-    g = keys + ["column"]
-    counts = (long_values(df, keys, columns)
-              .groupBy(*g, "value").agg(F.count(F.lit(1)).alias("c")))
-    stats = counts.groupBy(*g).agg(F.sum("c").alias("n"), F.min("value").alias("_lo"),
-                                   F.max("value").alias("_hi"))
-    if chunks:
-        k = F.lit(int(chunks))
-    else:
-        k = F.least(F.greatest(F.ceil(F.col("n") / F.lit(values_per_chunk)), F.lit(1)),
-                    F.lit(max_chunks))
-    width = (F.col("_hi") - F.col("_lo")) / k.cast("double")
-    chunk = F.when(width > 0, F.least(F.floor((F.col("value") - F.col("_lo")) / width),
-                                      k - 1)).otherwise(F.lit(0)).cast("long")
-    vc = counts.join(stats, g).withColumn("_chunk", chunk)
-
-    in_chunk = Window.partitionBy(*g, "_chunk").orderBy("value").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    vc = vc.withColumn("_before_in_chunk", F.sum("c").over(in_chunk) - F.col("c"))
-    totals = vc.groupBy(*g, "_chunk").agg(F.sum("c").alias("_chunk_n"))
-    prior = Window.partitionBy(*g).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*g, "_chunk",
-                            F.coalesce(F.sum("_chunk_n").over(prior), F.lit(0)).alias("_offset"))
-    spans = (vc.join(offsets, g + ["_chunk"])
-             .withColumn("_start", F.col("_offset") + F.col("_before_in_chunk"))
-             .withColumn("_end", F.col("_start") + F.col("c")))
-
-    # needed order statistics (0-based ranks) per probability
-    rank_cols = {}
-    for i, p in enumerate(probs):
-        h = (F.col("n") - 1) * F.lit(float(p))
+    order = sorted(range(len(probs)), key=lambda i: probs[i])
+    # used twice; at most one row for each group and column
+    first = cut(_first_pass(df, keys, columns, [probs[i] for i in order], accuracy))
+    g = [*keys, "column"]
+    brackets = first.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("column", "q"))).alias("_q"))
+    if first.count() <= BROADCAST_ROWS:
+        brackets = F.broadcast(brackets)
+    rows = long_values(df.select(*keys, *dict.fromkeys(columns)).join(brackets, keys), keys, columns, "_q")
+    q = F.col("_q")[F.col("column")]
+    v = F.col("value")
+    lows, highs = [q[2 * i] for i in range(len(probs))], [q[2 * i + 1] for i in range(len(probs))]
+    inside = F.lit(False)
+    past = F.lit(0)
+    for lo, hi in zip(lows, highs):
+        inside = inside | ((v >= lo) & (v <= hi))
+        past = past + (v > hi).cast("int")
+    spans = (rows.select(*g, "value", F.when(inside, v).alias("_v"), F.when(~inside, past).alias("_between"))
+             .groupBy(*g, "_v", "_between").agg(F.count(F.lit(1)).alias("_n"), F.min("value").alias("_lo"), F.max("value").alias("_hi")))
+    before = Window.partitionBy(*g).orderBy("_lo").rowsBetween(Window.unboundedPreceding, -1)
+    spans = spans.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))).join(first.drop("q"), g)
+
+    def at(rank: Column) -> Column:
+        """The value of that rank, where this span holds it."""
+        last = F.col("_start") + F.col("_n") - 1
+        one = F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).otherwise(F.raise_error(F.lit("an order statistic outside its bracket")).cast("double"))
+        return F.when(rank == F.col("_start"), F.col("_lo")).when(rank == last, F.col("_hi")).when((rank > F.col("_start")) & (rank < last), one)
+
+    picks, out = [], {}
+    for i, (p, name) in enumerate(zip(probs, names)):
+        h = (F.col("count") - 1) * F.lit(float(p))
         lo = F.floor(h)
-        rank_cols[f"_h{i}"] = h
-        rank_cols[f"_lo{i}"] = lo
-        rank_cols[f"_up{i}"] = F.least(lo + 1, F.col("n") - 1)
-    spans = spans.withColumns(rank_cols)
-
-    def hit(rank):
-        return (F.col(rank) >= F.col("_start")) & (F.col(rank) < F.col("_end"))
-
-    any_hit = None
-    for i in range(len(probs)):
-        cond = hit(f"_lo{i}") | hit(f"_up{i}")
-        any_hit = cond if any_hit is None else (any_hit | cond)
-    picked = spans.where(any_hit)
-    aggs = []
-    for i in range(len(probs)):
-        aggs += [F.max(F.when(hit(f"_lo{i}"), F.col("value"))).alias(f"_vlo{i}"),
-                 F.max(F.when(hit(f"_up{i}"), F.col("value"))).alias(f"_vup{i}"),
-                 F.first(F.col(f"_h{i}") - F.col(f"_lo{i}")).alias(f"_t{i}")]
-    res = picked.groupBy(*g).agg(*aggs)
-    out = [F.col(k) for k in g]
-    for i, name in enumerate(names):
-        lo_v, up_v, t = F.col(f"_vlo{i}"), F.col(f"_vup{i}"), F.col(f"_t{i}")
-        out.append((lo_v + t * (up_v - lo_v)).alias(name))
-    return res.select(*out)
+        picks += [F.max(at(lo)).alias(f"_a{i}"), F.max(at(F.least(lo + 1, F.col("count") - 1))).alias(f"_b{i}")]
+        out[name] = F.col(f"_a{i}") + (h - lo) * (F.col(f"_b{i}") - F.col(f"_a{i}"))
+    moments = ["count", "mean", "std", "min", "max"]
+    res = spans.groupBy(*g).agg(*[F.first(c).alias(c) for c in moments], *picks)
+    return res.select(*g, "count", "mean", "std", "min", *[e.alias(n) for n, e in out.items()], "max")
+
+
+def exact_quantiles(df: DataFrame, keys: Sequence[str], columns: Sequence[str], probs: Sequence[float], names: Sequence[str] | None = None,
+                    accuracy: int = ACCURACY) -> DataFrame:
+    """``keys..., column, <name per prob>``: the quantiles of ``summary`` alone."""
+    return summary(df, keys, columns, probs, names, accuracy).drop("count", "mean", "std", "min", "max")

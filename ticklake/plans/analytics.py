@@ -18,7 +18,7 @@ from ticklake.functions.params import (
 )
 from ticklake.functions.timecols import type_of
 from ticklake.operators.bars import last_price_bars, log_returns
-from ticklake.operators.quantiles import exact_quantiles, long_values
+from ticklake.operators.quantiles import long_values, summary
 from ticklake.schema import NUMERIC_COLUMNS, TICK_COLUMNS
 from ticklake.sources.scan import scan_day, scan_range
 
@@ -128,15 +128,14 @@ def correlation(ticks: DataFrame, symbol1: str, symbol2: str, day: DayArg = None
                 unit: str = "minute") -> DataFrame:
     """``product_id_a, product_id_b, correlation`` of the two return series.
 
-    Each series' returns are computed on its own bars, then joined on the
-    buckets both have. Both sides hold at most one row per bucket.
+    Each series' returns are computed on its own bars. A bucket that both have
+    becomes one row with both returns, by a conditional aggregate: one scan, no join.
     """
     a, b = validate_symbol(symbol1), validate_symbol(symbol2)
     bars = last_price_bars(tick_slice(ticks, day or _now(), [a, b]), unit)
     rets = log_returns(bars).where(F.col("return").isNotNull())
-    ra = rets.where(F.col("product_id") == a).select("bucket", F.col("return").alias("ret_a"))
-    rb = rets.where(F.col("product_id") == b).select("bucket", F.col("return").alias("ret_b"))
-    return (ra.join(rb, "bucket")
+    both = rets.groupBy("bucket").agg(*[F.max(F.when(F.col("product_id") == s, F.col("return"))).alias(n) for s, n in ((a, "ret_a"), (b, "ret_b"))])
+    return (both.where(F.col("ret_a").isNotNull() & F.col("ret_b").isNotNull())
             .agg(_pearson("ret_a", "ret_b").alias("correlation"))
             .select(F.lit(a).alias("product_id_a"), F.lit(b).alias("product_id_b"), "correlation")
             .na.drop())
@@ -183,25 +182,16 @@ def describe_ticks(ticks: DataFrame, day: DayArg, symbols=None,
                    accuracy: int = 100000) -> DataFrame:
     """Per symbol and numeric column: count, mean, std, min, quartiles, max.
 
-    Moments come from one aggregation (combined map-side). ``exact``
-    quartiles interpolate linearly between order statistics like pandas,
-    computed by ``operators.quantiles.exact_quantiles`` (no group or column
-    is ever held by a single task); ``exact=False`` uses
-    ``percentile_approx`` instead.
+    ``exact`` quartiles interpolate linearly between order statistics like
+    pandas; they and the moments come from ``operators.quantiles.summary`` in
+    two passes. ``exact=False`` takes one pass and ``percentile_approx``.
     """
-    cols = list(columns)
-    df = day_extract(ticks, day, symbols)
-    long = long_values(df, ["product_id"], cols)
-    moments = (long.groupBy("product_id", "column")
-               .agg(F.count("value").alias("count"), F.avg("value").alias("mean"),
-                    F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
-                    F.max("value").alias("max")))
+    df, cols = day_extract(ticks, day, symbols), list(columns)
+    names = ["p25", "p50", "p75"]
     if exact:
-        q = exact_quantiles(df, ["product_id"], cols, [0.25, 0.5, 0.75], names=["p25", "p50", "p75"])
-    else:
-        pa = F.percentile_approx("value", [0.25, 0.5, 0.75], accuracy)
-        q = (long.groupBy("product_id", "column").agg(pa.alias("_q"))
-             .select("product_id", "column", F.col("_q")[0].alias("p25"),
-                     F.col("_q")[1].alias("p50"), F.col("_q")[2].alias("p75")))
-    return (moments.join(q, ["product_id", "column"])
-            .select("product_id", "column", "count", "mean", "std", "min", "p25", "p50", "p75", "max"))
+        return summary(df, ["product_id"], cols, [0.25, 0.5, 0.75], names)
+    q = F.percentile_approx("value", [0.25, 0.5, 0.75], accuracy)
+    return (long_values(df, ["product_id"], cols).groupBy("product_id", "column")
+            .agg(F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
+                 F.min("value").alias("min"), q.alias("_q"), F.max("value").alias("max"))
+            .select("product_id", "column", "count", "mean", "std", "min", *[F.col("_q")[i].alias(n) for i, n in enumerate(names)], "max"))

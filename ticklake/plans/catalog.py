@@ -16,13 +16,14 @@ from pyspark.sql import types as T
 
 from ticklake import plans
 from ticklake.fixture import fixture_ticks
-from ticklake.session import apply_query_conf
+from ticklake.functions.timecols import utc_wall
 from ticklake.functions.bands import correlation_band, return_direction, volatility_band
 
 # Fixed parameters of the registered queries (FIXTURES.md §4).
 AS_OF = datetime(2024, 1, 15, 12, 0, 0)
 DAY = "2024-01-15"
 MONTH = ("2024-01-01", "2024-01-31")
+TWO_DAYS = ("2024-01-15", "2024-01-16")
 SYMBOLS = ["click", "error", "purchase", "signup", "view"]
 PAIR = ("click", "error")
 
@@ -37,7 +38,6 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
 
 def _q(fn: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        apply_query_conf(spark)
         return round_doubles(fn(fixture_ticks(spark, sf_dir)))
     run.__doc__ = fn.__doc__
     return run
@@ -72,6 +72,8 @@ def analytic_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "volatility_events": _q(lambda t: plans.volatility_events(t, DAY)),
         "volatility_crosstab": _q(lambda t: plans.volatility_crosstab(t, DAY)),
         "sequence_gaps": _q(lambda t: plans.sequence_gaps(t, DAY)),
+        "sequence_gaps_chunked": _q(lambda t: plans.sequence_gaps(t, DAY, chunk_width=64)),
+        "resample_mean_dense_days": _q(lambda t: plans.resample_mean(t, TWO_DAYS, dense=True)),
         "mean_gap": _q(lambda t: plans.mean_gap(t, DAY)),
         "gap_series": _q(lambda t: plans.gap_series(t, DAY)),
         "describe_ticks": _q(lambda t: plans.describe_ticks(t, DAY)),
@@ -90,16 +92,14 @@ WANTED = ["click", "view", "BTC-USD", "SPY"]
 
 
 def _ntz(df: DataFrame) -> DataFrame:
-    """``timestamp`` columns as ``timestamp_ntz`` (UTC session zone) for the oracle."""
+    """``timestamp`` columns as the ``timestamp_ntz`` of UTC, for the oracle."""
     return df.select(*[
-        F.col(f.name).cast(T.TimestampNTZType()).alias(f.name)
-        if isinstance(f.dataType, T.TimestampType) else F.col(f.name)
+        utc_wall(F.col(f.name), f.dataType).alias(f.name)
         for f in df.schema.fields])
 
 
 def _events_q(fn: Callable[[SparkSession, DataFrame], DataFrame]):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        apply_query_conf(spark)
         from ticklake.fixture import load_events
         return round_doubles(_ntz(fn(spark, load_events(spark, sf_dir))))
     return run
@@ -150,13 +150,11 @@ def stream_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from ticklake.streaming.runner import run_to_table
 
     def tob(spark: SparkSession, sf_dir: str) -> DataFrame:
-        apply_query_conf(spark)
         ticks = ticks_from_events(_event_stream(spark, sf_dir))
         path = run_to_table(spark, stream_top_of_book(ticks), "stream-top-of-book", "complete")
         return round_doubles(spark.read.parquet(path))
 
     def recent(spark: SparkSession, sf_dir: str) -> DataFrame:
-        apply_query_conf(spark)
         ticks = ticks_from_events(_event_stream(spark, sf_dir))
         path = run_to_table(spark, stream_recent_quotes(ticks), "stream-recent-quotes", "append")
         emitted = spark.read.parquet(path).drop("batch")
@@ -169,7 +167,6 @@ def stream_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         from ticklake.streaming.ingest_stream import start_ingest
         from ticklake.streaming.runner import finish
 
-        apply_query_conf(spark)
         base = scratch_path(spark, "stream-ingest")
         msgs = messages_from_events(_event_stream(spark, sf_dir))
         q = start_ingest(msgs, f"{base}/table", f"{base}/dead", f"{base}/_checkpoint",

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticklake.functions.timecols import bucket_of
+from ticklake.functions.timecols import bucket_of, type_of, utc_date
 from ticklake.operators.bars import bucket_means, with_calendar
 from ticklake.operators.ordered import lag_chunked
 from ticklake.plans.analytics import DESCRIBE_COLUMNS, DayArg, day_extract
@@ -28,7 +28,7 @@ def resample_mean(ticks: DataFrame, day: DayArg, symbols=None, dense: bool = Fal
     """Mean of every numeric column per symbol and minute of the cleaned day.
 
     ``dense=False`` drops empty minutes; ``dense=True`` keeps them as NULL rows
-    between each symbol's first and last minute.
+    between each symbol's first and last minute of a day; the nights between two days stay empty.
     """
     clean = day_extract(ticks, day, symbols)
     means = bucket_means(clean, MEAN_COLUMNS, ("product_id",), unit)
@@ -49,7 +49,8 @@ def volatility_levels(ticks: DataFrame, day: DayArg, symbols=None) -> DataFrame:
     ≤σ NORMAL(1), ≤2σ HIGH(2), ≤3σ VERY_HIGH(3), >3σ EXTREME(4); no Δ or no σ
     is NORMAL. Columns: ``symbol, bucket, price, last_size, level, volatility_level``.
     """
-    means = resample_mean(ticks, day, symbols).withColumn("trade_date", F.to_date("bucket"))
+    means = resample_mean(ticks, day, symbols)
+    means = means.withColumn("trade_date", utc_date(F.col("bucket"), type_of(means, "bucket")))
     part = Window.partitionBy("product_id", "trade_date")
     sigma = F.stddev_samp("last_size").over(part)
     delta = F.abs(F.col("last_size") - F.lag("last_size").over(part.orderBy("bucket")))

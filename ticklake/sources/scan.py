@@ -97,7 +97,7 @@ def scan_foreign_ticks(spark: SparkSession, root: str,
     The symbol directory there is not a Hive key (``product_id`` comes from
     the file body), zero-padded ``month``/``day`` parse as integers, and
     ``time`` is stored in nanoseconds, which Spark's Parquet reader only
-    accepts as a long (``nanosAsLong``); it is turned into a ``timestamp``
+    accepts as a long (``nanosAsLong``, a setting of the whole session); it is turned into a ``timestamp``
     here. The result has the same columns as ``scan_ticks``.
     """
     from ticklake.schema import TICK_COLUMNS

@@ -8,13 +8,12 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ticklake.functions.timecols import type_of, utc_text
 from ticklake.schema import (
-    INTEGER_COLUMNS, NUMERIC_COLUMNS, PARTITION_COLUMNS, RECEIVED_FORMAT, TICK_COLUMNS, TOPIC_PREFIX,
+    INTEGER_COLUMNS, NUMERIC_COLUMNS, PARTITION_COLUMNS, TICK_COLUMNS, TOPIC_PREFIX,
 )
 from ticklake.sources.layout import DAY_COLUMNS, WRITE_COLUMNS
 
-TIME_TEXT_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
-
 
 # SNK1
 def append_ticks(ticks: DataFrame, root: str, batch: str | None = None) -> None:
@@ -61,6 +60,7 @@ def to_messages(ticks: DataFrame, topic_day=None, extra: tuple[str, ...] = ()) -
     stamp in its text format. The topic is ``market-data-yyyyMMdd`` of
     ``topic_day`` (a column; default the tick's own ``time``).
     """
+    text = lambda c: utc_text(F.col(c), type_of(ticks, c))
     fields = []
     for c in TICK_COLUMNS:
         if c in NUMERIC_COLUMNS:
@@ -68,14 +68,15 @@ def to_messages(ticks: DataFrame, topic_day=None, extra: tuple[str, ...] = ()) -
         elif c in INTEGER_COLUMNS:
             fields.append(F.col(c))
         elif c == "time":
-            fields.append(F.date_format(F.col(c), TIME_TEXT_FORMAT).alias(c))
+            fields.append(F.concat(F.replace(text(c), F.lit(" "), F.lit("T")), F.lit("Z")).alias(c))
         elif c == "recieved":
-            fields.append(F.date_format(F.col(c), RECEIVED_FORMAT).alias("Recieved"))
+            day = F.concat(F.substring(text(c), 9, 2), F.lit("-"), F.substring(text(c), 6, 2), F.lit("-"), F.substring(text(c), 1, 4))
+            fields.append(F.concat(day, F.substring(text(c), 11, 16)).alias("Recieved"))
         else:
             fields.append(F.col(c))
-    day = topic_day if topic_day is not None else F.col("time")
+    day = F.date_format(topic_day, "yyyyMMdd") if topic_day is not None else F.replace(F.substring(text("time"), 1, 10), F.lit("-"), F.lit(""))
     return ticks.select(
-        F.concat(F.lit(TOPIC_PREFIX), F.date_format(day, "yyyyMMdd")).alias("topic"),
+        F.concat(F.lit(TOPIC_PREFIX), day).alias("topic"),
         F.col("product_id").alias("key"),
         F.to_json(F.struct(*fields)).alias("value"),
         *extra)

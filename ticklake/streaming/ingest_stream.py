@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ticklake.operators.ingest import dead_letters, good_ticks, ingest, ingest_metrics
-from ticklake.session import apply_query_conf
 from ticklake.sources.sinks import append_ticks, write_dead_letters
 
 
@@ -37,7 +36,6 @@ def query_owner(spark: SparkSession, checkpoint: str) -> str:
 def ingest_batch(raw: DataFrame, batch_id: int, table_root: str, dead_root: str,
                  metrics_root: str | None = None, owner: str = "") -> None:
     """Process one micro-batch of ``key, value`` rows (also usable on a batch frame)."""
-    apply_query_conf(raw.sparkSession)  # UTC: partition days are UTC days
     name = batch_name(batch_id, owner)
     validated = ingest(raw).persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -55,7 +53,6 @@ def start_ingest(stream: DataFrame, table_root: str, dead_root: str, checkpoint:
                  metrics_root: str | None = None, available_now: bool = False,
                  processing_time: str | None = None) -> StreamingQuery:
     """Start the ingest query on a ``key, value`` stream (``read_tick_stream``)."""
-    apply_query_conf(stream.sparkSession)
     owner: list[str] = []
 
     def process(batch: DataFrame, batch_id: int) -> None:
