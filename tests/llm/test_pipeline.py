@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 
 import corpus_pipeline
@@ -38,7 +40,13 @@ def test_stages_against_plain_versions(spark):
         elif name == "line_dedup":
             c = duckdb.connect()
             c.register("documents", before[["doc_id", "text"]])
+            label = groups([simhash64(t) for t in before["text"]], before["doc_id"])
+            c.register("grouped", before[["doc_id"]].assign(component=label))
             sql = SQL["op9_line_templates"].replace("sha256(coalesce(kept, ''))", "coalesce(kept, '')")
+            # near copies count once
+            assert "FROM u JOIN ok USING (m) GROUP BY template HAVING count(DISTINCT doc_id)" in sql
+            sql = sql.replace("FROM u JOIN ok USING (m) GROUP BY template HAVING count(DISTINCT doc_id)",
+                              "FROM u JOIN ok USING (m) JOIN grouped USING (doc_id) GROUP BY template HAVING count(DISTINCT component)")
             want = {i: t for i, _, n, t in c.execute(sql).fetchall() if n == 0 or t.strip()}
             assert dict(zip(after["doc_id"], after["text"])) == want
         elif name == "simhash_near_dedup":
@@ -78,6 +86,19 @@ def test_one_of_many_copies_stays(spark):
     assert [r["text"] for r in kept] == ["\n".join(own)]
 
 
+def test_one_whole_text_of_many_near_copies_stays(spark):
+    words = [f"{a}{b}" for a in ("riv", "stone", "cloud", "hav", "mor", "lent", "tas", "bir", "quo", "sel") for b in ("en", "ow", "ing", "ard", "ule", "ish", "ock", "ane", "olt", "ipe")]
+    lines = [" ".join(words[(17 * i + 7 * k * k + k) % 100] for k in range(16)) for i in range(20)]
+    rows = [(i, "\n".join(f"{x} {w}" if k == i % 20 else x for k, x in enumerate(lines))) for i, w in enumerate("ash elm oak fir yew bay fig gum box sal ivy nut".split())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    fps = [simhash64(t) for _, t in rows]
+    assert len(set(groups(fps, range(12)))) < 10  # near copies by the measure of the next stage
+    cleaned = corpus_pipeline.line_dedup(spark, docs, SF)
+    assert {r["doc_id"]: r["text"] for r in cleaned.collect()} == dict(rows)
+    kept = corpus_pipeline.simhash_near_dedup(spark, cleaned, SF).collect()
+    assert len(kept) == len(set(groups(fps, range(12)))) and all(len(r["text"].split("\n")) == 20 for r in kept)
+
+
 def test_a_line_that_recurs_goes_at_any_size(spark):
     words = [f"w{chr(97 + i // 8)}{chr(97 + i % 8)}" for i in range(60)]
     for size in (20, 2000):
@@ -86,7 +107,10 @@ def test_a_line_that_recurs_goes_at_any_size(spark):
             line = list(words)
             for k in (7, 11, 13) if i % 2 else ():  # other positions and other words in each variant
                 line[3 + i * k % 57] = "v" + "".join(chr(97 + int(c)) for c in str(i * 20 + k))
-            rows.append((i, "own " + "".join(chr(97 + int(c)) for c in str(i)) + " text\n" + " ".join(line)))
+            # documents of their own but for that line; near copies would count once
+            draw = random.Random(i)
+            own = [" ".join("".join(draw.choices("abcdefgh", k=5)) for _ in range(20)) for _ in range(6)]
+            rows.append((i, "\n".join([*own, " ".join(line)])))
         docs = spark.createDataFrame(rows, "doc_id long, text string")
         out = corpus_pipeline.line_dedup(spark, docs, SF).collect()
         assert len(out) == size and not [r for r in out if " ".join(words) in r["text"]]

@@ -16,8 +16,8 @@ gathered into one task.
 Defined cases: a null text stays null and has no lines; a blank line has no
 template and stays; line ends are ``\\n``; documents are told apart by id, so
 rows that repeat an id count once for a template, and each row loses the lines;
-rows with a null id count as one document; with ``copies_once`` (the pipeline)
-documents of equal text count once too; with ``whole_lines`` (the pipeline) a
+rows with a null id count as one document; with ``groups`` (the pipeline)
+near copies count once too; with ``whole_lines`` (the pipeline) a
 masked line in ``min_docs`` documents is boilerplate whatever its leaf holds, so
 that this does not turn over with the number of edited variants; extra columns stay.
 """
@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticklake.llm.common import cut, table, written
+from ticklake.llm.simhash import near_duplicates
 
 _SPACE = r"[\x09\x0B-\x0D][\x20\x09\x0B-\x0D]*|\x20[\x20\x09\x0B-\x0D]+"
 _FIELD = "<*>"
@@ -40,11 +41,11 @@ def _masked(line: Column) -> Column:
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str, depth: int) -> DataFrame:
-    """Distinct masked lines of each document: id, copy (hash of the text), leaf, masked, line (hash)."""
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("copy"), F.explode(F.array_distinct(F.transform(F.split(F.col(text_col), "\n"), _masked))).alias("masked"))
+    """Distinct masked lines of each document: id, leaf, masked, line (hash)."""
+    rows = docs.select(F.col(id_col).alias("id"), F.explode(F.array_distinct(F.transform(F.split(F.col(text_col), "\n"), _masked))).alias("masked"))
     tokens = F.size(F.split("masked", " "))
     return (rows.filter("masked != ''")
-            .select("id", "copy", "masked", F.xxhash64(tokens, F.substring_index("masked", " ", depth)).alias("leaf"), F.xxhash64("masked").alias("line")))
+            .select("id", "masked", F.xxhash64(tokens, F.substring_index("masked", " ", depth)).alias("leaf"), F.xxhash64("masked").alias("line")))
 
 
 def recurring_lines(docs: DataFrame, **options) -> DataFrame:
@@ -54,11 +55,9 @@ def recurring_lines(docs: DataFrame, **options) -> DataFrame:
 
 def _recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = 3,
                max_children: int = 8, min_docs: int = 10, min_fixed: float = 0.5,
-               copies_once: bool = False, whole_lines: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(id, line) of the lines that may recur, and the masked lines that do."""
+               groups: DataFrame | None = None, whole_lines: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(id, line) of the lines that may recur, and the masked lines that do; ``groups`` (id, component) names documents that count as one."""
     lines = _lines(docs, id_col, text_col, depth)
-    if not copies_once:
-        lines = lines.drop("copy")
     # a line of a template is in its leaf: a leaf in fewer documents holds no recurring template
     leaves = lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_docs).select("leaf")
     # as a table of known size, so that Spark can join it without a shuffle of the lines as long as it is small
@@ -75,8 +74,8 @@ def _recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     known = known.filter(F.size(F.filter(F.split("template", " "), lambda t: t != _FIELD)) >= min_fixed * F.size(F.split("template", " ")))
     known = cut(known.withColumn("key", F.xxhash64("template")))
     seen = near.drop("leaf", "masked").join(known.select("line", "key"), "line")
-    if copies_once:  # documents of equal text stand for one, the first by id
-        seen = seen.groupBy("key", "copy").agg(F.min("id").alias("id"))
+    if groups is not None:
+        seen = seen.join(groups, "id", "left").select("key", F.coalesce("component", "id").alias("id"))
     counts = (seen.select("key", "id").distinct()
               .groupBy("key").agg(F.count(F.lit(1)).alias("n_docs")).filter(F.col("n_docs") >= min_docs))
     return near.select("id", "line"), known.join(counts, "key").select("line", "template", "n_docs")
@@ -100,11 +99,16 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
 def without_recurring_lines(docs: DataFrame) -> DataFrame:
     """The documents left with text, their recurring lines taken out; columns as given.
 
-    Copies count once for a template, so that lines of a text that is only copied
-    often stay, and a later stage can keep one of the copies. A masked line that itself
-    recurs goes also where edited variants made its positions fields.
+    A group of near copies (``simhash.near_duplicates``) counts once for a template, so that lines of a
+    text that is only copied, with edits or without, stay whole in all of them, and a later
+    stage can keep one. A masked line that itself recurs goes also where edited variants made its positions fields.
+
+    A null text stays; rows with one id count once; rows without an id count as one document; a document
+    that loses every line goes, one without text from the start stays; an empty table gives no rows.
     """
-    rows = drop_recurring_lines(docs, copies_once=True, whole_lines=True)
+    found = near_duplicates(docs).filter("doc_id is not null")
+    groups = cut(found.groupBy(F.col("doc_id").alias("id")).agg(F.min("component_id").alias("component")))
+    rows = drop_recurring_lines(docs, groups=groups, whole_lines=True)
     rows = rows.filter((F.col("n_dropped") == 0) | (F.trim(F.regexp_replace("row.text", r"\s+", " ")) != ""))
     return rows.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
