@@ -11,7 +11,7 @@ from tests.conftest import SF_SMALL
 
 def test_ingest_then_compact_jobs(spark, workdir):
     src = os.path.join(workdir, "in")
-    msgs = messages_from_events(load_events(spark, SF_SMALL))
+    msgs = messages_from_events(load_events(spark, SF_SMALL).where("day(ts) in (3, 15)"))
     msgs.select("value").repartition(3).write.text(src)
     table = os.path.join(workdir, "table")
     args = parse_args(["ingest", "--source-path", src, "--table", table,

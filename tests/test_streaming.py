@@ -10,6 +10,7 @@ from ticklake.operators.ingest import dead_letters, good_ticks, ingest
 from ticklake.sources.scan import scan_ticks
 from ticklake.sources.stream import read_tick_stream
 from ticklake.streaming import start_ingest, stream_recent_quotes, stream_top_of_book
+from ticklake.streaming.book_stream import current_recent_quotes
 from ticklake.streaming.ingest_stream import ingest_batch
 from tests.conftest import SF_SMALL
 
@@ -17,7 +18,7 @@ COLS = ["sequence", "product_id", "price", "last_size", "time", "recieved", "yea
 
 
 def _write_messages(spark, path, n_files=4):
-    msgs = messages_from_events(load_events(spark, SF_SMALL))
+    msgs = messages_from_events(load_events(spark, SF_SMALL).where("day(ts) in (3, 4, 15)"))
     msgs.select("value").repartition(n_files).write.text(path)
     return msgs
 
@@ -59,7 +60,7 @@ def test_stream_ingest_matches_batch_and_restart_adds_nothing(spark, workdir):
 
 def test_replayed_batch_is_idempotent(spark, workdir):
     table, dead = os.path.join(workdir, "t"), os.path.join(workdir, "d")
-    raw = messages_from_events(load_events(spark, SF_SMALL))
+    raw = messages_from_events(load_events(spark, SF_SMALL).where("day(ts) in (3, 4, 15)"))
     ingest_batch(raw, 7, table, dead)
     n = scan_ticks(spark, table).count()
     ingest_batch(raw, 7, table, dead)  # same batch id again (at-least-once replay)
@@ -83,18 +84,59 @@ def test_stream_book_matches_batch(spark, workdir):
     exp = sorted(tuple(r) for r in book.top_of_book(batch_ticks).collect())
     assert got == exp
 
-    q2 = (stream_recent_quotes(ticks_stream).writeStream.outputMode("append").format("memory")
-          .queryName("recent_test").trigger(availableNow=True)
-          .option("checkpointLocation", os.path.join(workdir, "c2")).start())
-    q2.awaitTermination(300)
-    out = [r.asDict() for r in spark.table("recent_test").collect()]
-    last = {}
-    for r in out:
-        last[r["product_id"]] = max(last.get(r["product_id"], 0), r["version"])
-    got = sorted(tuple(v for k, v in r.items() if k != "version")
-                 for r in out if r["version"] == last[r["product_id"]])
     exp = sorted(tuple(r) for r in book.recent_quotes(batch_ticks).collect())
-    assert got == exp
+    for salts in (1, 5):
+        q2 = (stream_recent_quotes(ticks_stream, salts=salts).writeStream.outputMode("append").format("memory")
+              .queryName(f"recent_{salts}").trigger(availableNow=True)
+              .option("checkpointLocation", os.path.join(workdir, f"c2-{salts}")).start())
+        q2.awaitTermination(300)
+        out = spark.table(f"recent_{salts}")
+        # a symbol's state is spread over the salts, and each share is updated by several micro-batches
+        assert out.groupBy("product_id").agg(F.countDistinct("salt").alias("n")).agg(F.min("n")).first()[0] >= min(salts, 3)
+        assert out.agg(F.max("version")).first()[0] >= 3
+        assert sorted(tuple(r) for r in current_recent_quotes(out).collect()) == exp
+
+
+def test_latest_quotes_of_a_share():
+    import pandas as pd
+
+    from ticklake.streaming.book_stream import _latest, _plain
+
+    frame = pd.DataFrame({"bid": [1.0, 2.0, 3.0, None], "bid_size": 1.0, "ask": 1.0, "ask_size": 1.0, "micros": [5, 9, 9, 7], "sequence": pd.Series([1, None, 4, 2], dtype="Int64")})
+    assert _latest([_plain(frame, 2)], 2)["bid"] == [3.0, 2.0]
+    top = _latest([_plain(frame.iloc[:2], 3), _plain(frame.iloc[2:], 3)], 3)
+    assert (top["bid"], top["sequence"]) == ([3.0, 2.0, None], [4, None, 2])
+
+
+def test_subscription_edits(spark, workdir):
+    import pytest
+
+    from ticklake.streaming import add_subscriptions, remove_subscriptions, subscriptions
+
+    now = lambda: sorted(r["product_id"] for r in subscriptions(spark, f"{workdir}/s").collect())
+    assert now() == []
+    add_subscriptions(spark, f"{workdir}/s", ["SPY", "QQQ", "SPY"])
+    add_subscriptions(spark, f"{workdir}/s", ["QQQ", "BTC-USD"])
+    assert now() == ["BTC-USD", "QQQ", "SPY"]
+    remove_subscriptions(spark, f"{workdir}/s", ["SPY"])
+    assert now() == ["BTC-USD", "QQQ"]
+    with pytest.raises(ValueError, match="IWM"):
+        remove_subscriptions(spark, f"{workdir}/s", ["QQQ", "IWM"])
+    with pytest.raises(ValueError):
+        add_subscriptions(spark, f"{workdir}/s", ["A;B"])
+    assert now() == ["BTC-USD", "QQQ"]
+
+
+def test_observed_metrics_equal_a_second_pass(spark):
+    from ticklake.operators.ingest import ingest_metrics, observed, observed_metrics
+
+    validated = ingest(messages_from_events(load_events(spark, SF_SMALL)))
+    counted, seen = observed(validated)
+    good_ticks(counted).write.format("noop").mode("overwrite").save()
+    assert observed_metrics(spark, seen).collect() == ingest_metrics(validated).collect()
+    empty, seen = observed(validated.limit(0))
+    good_ticks(empty).write.format("noop").mode("overwrite").save()
+    assert tuple(observed_metrics(spark, seen).first()) == (0, 0, 0, 0.0)
 
 
 def test_top_of_book_update_mode(spark, workdir):

@@ -30,8 +30,9 @@ def parse_args(argv=None) -> argparse.Namespace:
     i.add_argument("--dead-letters", required=True)
     i.add_argument("--checkpoint", required=True)
     i.add_argument("--metrics")
-    i.add_argument("--max-per-trigger", type=int)
-    i.add_argument("--trigger", default="10 seconds", help="processing-time trigger")
+    i.add_argument("--max-per-trigger", type=int, default=5_000_000, help="messages (Kafka) or files of a micro-batch at most")
+    # each micro-batch leaves a directory for each day and symbol
+    i.add_argument("--trigger", default="5 minutes", help="processing-time trigger")
     i.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     c = sub.add_parser("compact", help="compact past days with fragments")
     c.add_argument("--table", required=True)

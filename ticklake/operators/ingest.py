@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from typing import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -168,15 +168,32 @@ def dead_letters(validated: DataFrame) -> DataFrame:
     return validated.where(F.col("reason").isNotNull()).select("key", "reason", "value")
 
 
+def _counts() -> list[Column]:
+    return [F.count(F.lit(1)).alias("processed"), F.count_if(F.col("reason").isNotNull()).alias("errors"),
+            F.count_if(F.col("reason").isNull() & ~F.col("is_ticker")).alias("dropped")]
+
+
+def _with_share(counts: DataFrame) -> DataFrame:
+    return counts.withColumn("error_pct", F.coalesce(
+        F.round(F.try_divide(F.col("errors") * F.lit(100.0), F.col("processed")), 2), F.lit(0.0)))
+
+
 # ING10
 def ingest_metrics(validated: DataFrame) -> DataFrame:
     """One row: processed, errors, dropped (non-ticker), error_pct (2 dp, 0 if none)."""
-    return validated.agg(
-        F.count(F.lit(1)).alias("processed"),
-        F.count_if(F.col("reason").isNotNull()).alias("errors"),
-        F.count_if(F.col("reason").isNull() & ~F.col("is_ticker")).alias("dropped"),
-    ).withColumn("error_pct", F.coalesce(
-        F.round(F.try_divide(F.col("errors") * F.lit(100.0), F.col("processed")), 2), F.lit(0.0)))
+    return _with_share(validated.agg(*_counts()))
+
+
+def observed(validated: DataFrame) -> tuple[DataFrame, Observation]:
+    """``validated`` as it is, with its counts observed by whatever job reads it first and whole."""
+    seen = Observation()
+    return validated.observe(seen, *_counts()), seen
+
+
+def observed_metrics(spark: SparkSession, seen: Observation) -> DataFrame:
+    """``ingest_metrics`` from an observation whose job has ended."""
+    names = ("processed", "errors", "dropped")
+    return _with_share(spark.createDataFrame([tuple(int(seen.get[n]) for n in names)], ", ".join(f"{n} long" for n in names)))
 
 
 def ingest(raw: DataFrame) -> DataFrame:
@@ -197,7 +214,7 @@ def filter_subscribed(ticks: DataFrame, subscriptions) -> DataFrame:
 
     A list of symbols becomes an ``IN`` predicate (pushed to the scan and to
     partition pruning, no join). A DataFrame of ``product_id`` (static) is a
-    left-semi join, planned by Spark from the size it knows.
+    left-semi join, planned by Spark from the size it knows. On a stream, ``streaming.subscribed`` reads the set anew for each micro-batch.
     """
     if isinstance(subscriptions, (list, tuple, set, frozenset)):
         return ticks.where(F.col("product_id").isin(sorted(subscriptions)))

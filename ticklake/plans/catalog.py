@@ -7,7 +7,7 @@ are rounded to six decimals for comparison, the same as in the oracle SQL.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,14 +15,27 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ticklake import plans
-from ticklake.fixture import fixture_ticks
+from ticklake.fixture import fixture_ticks, load_events, messages_from_events, ticks_from_events
 from ticklake.functions.timecols import utc_wall
 from ticklake.functions.bands import correlation_band, return_direction, volatility_band
+from ticklake.operators import book
+from ticklake.operators import ingest as ing
+from ticklake.session import cut, scratch_path
+from ticklake.sources.compaction import compact_table, fragmented_partitions
+from ticklake.sources.scan import scan_ticks
+from ticklake.sources.sinks import append_ticks, to_messages
+from ticklake.sources.stream import read_tick_stream
+from ticklake.streaming import (
+    add_subscriptions, remove_subscriptions, start_ingest, start_subscribed, stream_recent_quotes, stream_top_of_book)
+from ticklake.streaming.book_stream import current_recent_quotes
+from ticklake.streaming.runner import finish, run_to_table
 
 # Fixed parameters of the registered queries (FIXTURES.md §4).
 AS_OF = datetime(2024, 1, 15, 12, 0, 0)
 DAY = "2024-01-15"
 MONTH = ("2024-01-01", "2024-01-31")
+#: All days of ``events`` are past on this one.
+CLOSED = date(2024, 2, 1)
 TWO_DAYS = ("2024-01-15", "2024-01-16")
 SYMBOLS = ["click", "error", "purchase", "signup", "view"]
 PAIR = ("click", "error")
@@ -100,16 +113,11 @@ def _ntz(df: DataFrame) -> DataFrame:
 
 def _events_q(fn: Callable[[SparkSession, DataFrame], DataFrame]):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        from ticklake.fixture import load_events
         return round_doubles(_ntz(fn(spark, load_events(spark, sf_dir))))
     return run
 
 
 def book_and_ingest_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from ticklake.fixture import messages_from_events, ticks_from_events
-    from ticklake.operators import book, ingest as ing
-    from ticklake.sources.sinks import to_messages
-
     def validated(events):
         return ing.ingest(messages_from_events(events))
 
@@ -134,21 +142,20 @@ def book_and_ingest_queries() -> dict[str, Callable[[SparkSession, str], DataFra
     }
 
 
-def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` of ``sf_dir`` as a file stream (one file per trigger)."""
-    from ticklake.fixture import load_events
+#: Files that the registered streams read, and how many of them make a micro-batch.
+FILES, FILES_A_BATCH = 8, 2
 
-    schema = load_events(spark, sf_dir).schema
-    return (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-            .option("maxFilesPerTrigger", 1).parquet(sf_dir))
 
+def _event_stream(spark: SparkSession, sf_dir: str, by_days: bool = False) -> DataFrame:
+    """``events`` of ``sf_dir`` as a stream of ``FILES`` files, ``FILES_A_BATCH`` a micro-batch: each of some days, or all over the month."""
+    events = load_events(spark, sf_dir)
+    path = scratch_path(spark, "event-files")
+    part = F.floor((F.dayofmonth("ts") - 1) * F.lit(FILES) / 31) if by_days else F.pmod("event_id", F.lit(FILES))
+    events.withColumn("part", part).repartition(FILES, "part").write.partitionBy("part").parquet(path)
+    return (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", FILES_A_BATCH).option("recursiveFileLookup", "true").parquet(path))
 
-def stream_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from ticklake.fixture import ticks_from_events
-    from ticklake.streaming.book_stream import (
-        current_recent_quotes, stream_recent_quotes, stream_top_of_book)
-    from ticklake.streaming.runner import run_to_table
 
+def stream_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def tob(spark: SparkSession, sf_dir: str) -> DataFrame:
         ticks = ticks_from_events(_event_stream(spark, sf_dir))
         path = run_to_table(spark, stream_top_of_book(ticks), "stream-top-of-book", "complete")
@@ -161,25 +168,113 @@ def stream_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         return round_doubles(_ntz(current_recent_quotes(emitted)))
 
     def ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-        from ticklake.fixture import messages_from_events
-        from ticklake.session import scratch_path
-        from ticklake.sources.scan import scan_ticks
-        from ticklake.streaming.ingest_stream import start_ingest
-        from ticklake.streaming.runner import finish
-
         base = scratch_path(spark, "stream-ingest")
-        msgs = messages_from_events(_event_stream(spark, sf_dir))
+        msgs = messages_from_events(_event_stream(spark, sf_dir, by_days=True))
         q = start_ingest(msgs, f"{base}/table", f"{base}/dead", f"{base}/_checkpoint",
                          f"{base}/metrics", available_now=True)
         finish(q)
         return round_doubles(_ntz(scan_ticks(spark, f"{base}/table")))
 
-    return {"stream_top_of_book": tob, "stream_recent_quotes": recent,
-            "stream_ingest": ingest_stream}
+    def ingest_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """SNK2 and ING10 of the same stream, read back: dead letters by key and reason, and the metrics of all micro-batches."""
+        base = scratch_path(spark, "stream-outputs")
+        q = start_ingest(messages_from_events(_event_stream(spark, sf_dir, by_days=True)), f"{base}/table", f"{base}/dead", f"{base}/_checkpoint",
+                         f"{base}/metrics", available_now=True)
+        finish(q)
+        dead = spark.read.schema("key string, reason string, value string, batch string").json(f"{base}/dead")
+        metrics = spark.read.schema("processed long, errors long, dropped long, error_pct double, batch string").json(f"{base}/metrics")
+        sums = metrics.agg(*[F.sum(c).alias(c) for c in ("processed", "errors", "dropped")], F.count("*").alias("batches"))
+        counts = F.array(*[F.struct(F.lit("metrics").alias("key"), F.lit(c).alias("reason"), F.col(c).alias("n")) for c in ("processed", "errors", "dropped", "batches")])
+        return dead.groupBy("key", "reason").agg(F.count("*").alias("n")).unionByName(sums.select(F.inline(counts)))
+
+    def batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """SRC3 and ING11: messages from files of JSON lines, admitted some files at a time; of each file, its rows and the files of its micro-batch."""
+        src = scratch_path(spark, "message-files")
+        events = load_events(spark, sf_dir).withColumn("_part", F.pmod("event_id", F.lit(FILES)))
+        for k in range(FILES):  # one file each, named by its place
+            messages_from_events(events.where(F.col("_part") == k), corrupt=False).select("value").coalesce(1).write.mode("append").text(f"{src}/part={k}")
+        stream = read_tick_stream(spark, path=src, max_per_trigger=FILES_A_BATCH)
+        path = run_to_table(spark, stream, "stream-batches", "append")
+        part = F.pmod(F.get_json_object("value", "$.sequence").cast("long"), F.lit(FILES))
+        rows = spark.read.parquet(path).groupBy("batch", part.alias("part")).agg(F.count("*").alias("n"), F.countDistinct("key").alias("symbols"))
+        of = rows.groupBy("batch").agg(F.count("*").alias("files_in_batch"))
+        return rows.join(of, "batch").select("part", "n", "symbols", "files_in_batch")
+
+    def subscribed(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """ING14 on a stream: the first half of the ticks under one set of symbols, the second half under an edited one."""
+        base = scratch_path(spark, "stream-subscribed")
+        events, subs = load_events(spark, sf_dir), f"{base}/subscriptions"
+        add_subscriptions(spark, subs, WANTED)
+        for half in (0, 1):
+            events.where(F.pmod("event_id", F.lit(2)) == half).coalesce(1).write.mode("append").parquet(f"{base}/in")
+            ticks = ticks_from_events(spark.readStream.schema(events.schema).parquet(f"{base}/in"))
+            finish(start_subscribed(ticks, subs, f"{base}/out", f"{base}/_checkpoint", available_now=True))
+            if not half:
+                add_subscriptions(spark, subs, ["error", "click"])
+                remove_subscriptions(spark, subs, ["view"])
+        out = spark.read.parquet(f"{base}/out")
+        return out.groupBy("product_id", F.pmod("sequence", F.lit(2)).alias("half")).agg(F.count("*").alias("n"))
+
+    return {"stream_top_of_book": tob, "stream_recent_quotes": recent, "stream_ingest": ingest_stream,
+            "stream_ingest_outputs": ingest_outputs, "stream_batches": batches, "stream_subscribed": subscribed}
+
+
+def _stored(spark: SparkSession, sf_dir: str, batches: int = 3) -> str:
+    """A tick table of the whole ``events``, appended in ``batches`` named writes."""
+    root = scratch_path(spark, "stored-ticks")
+    ticks = fixture_ticks(spark, sf_dir)
+    for b in range(batches):
+        append_ticks(ticks.where(F.pmod("sequence", F.lit(batches)) == b), root, f"b{b}")
+    return root
+
+
+def stored_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Queries over a table on disk (SRC1 by day, SRC2, SNK1), and its compaction (SNK4, SNK5)."""
+
+    def over(days, fn):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return round_doubles(_ntz(fn(scan_ticks(spark, _stored(spark, sf_dir, 1), days))))
+        return run
+
+    def compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """All rows, after every closed day was compacted and one of the merged batches was written again."""
+        root = _stored(spark, sf_dir)
+        compact_table(spark, root, today=CLOSED)
+        append_ticks(fixture_ticks(spark, sf_dir).where(F.pmod("sequence", F.lit(3)) == 1), root, "b1")
+        return round_doubles(_ntz(scan_ticks(spark, root)))
+
+    def fragmented(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Files of the symbol-days that need packing, before compaction and after it (none)."""
+        root = _stored(spark, sf_dir)
+        cols = [F.col(c) for c in ("year", "month", "day", "product_id", "files")]
+        before = cut(fragmented_partitions(spark, root).select(F.lit("before").alias("state"), *cols))
+        compact_table(spark, root, today=CLOSED)
+        return before.unionByName(fragmented_partitions(spark, root).select(F.lit("after").alias("state"), *cols))
+
+    def stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """ING2, ING3 and ING12: facts of the clocks' columns, as clocks themselves vary."""
+        events = load_events(spark, sf_dir)
+        t = ing.only_tickers(ticks_from_events(events)).withColumn("_before", F.current_timestamp())
+        t = ing.route_topic(ing.stamp_consumed_stored(ing.stamp_received(t, "received_at")), F.col("time"))
+        stamp = ing.parse_received(F.col("received_at"))
+        fine = stamp.isNotNull() & (F.col("Consumed") <= F.col("Stored")) & (F.col("Consumed") >= F.col("_before"))
+        return t.groupBy("topic", "key").agg(F.count("*").alias("n"), F.count_if(fine).alias("stamped"))
+
+    return {
+        "stored_high_low": over(DAY, lambda t: plans.high_low(t, SYMBOLS, "1h", AS_OF)),
+        "stored_quickvwap": over(DAY, lambda t: plans.quickvwap(t, DAY)),
+        "stored_returns": over(MONTH, lambda t: plans.returns(t, None, MONTH)),
+        "stored_resample_mean": over(DAY, lambda t: plans.resample_mean(t, DAY)),
+        "stored_sequence_gaps": over(DAY, lambda t: plans.sequence_gaps(t, DAY)),
+        "compact_table_rows": compacted,
+        "fragmented_partitions": fragmented,
+        "ingest_stamps": stamps,
+    }
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = dict(analytic_queries())
     out.update(book_and_ingest_queries())
     out.update(stream_queries())
+    out.update(stored_queries())
     return out

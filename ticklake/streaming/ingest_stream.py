@@ -1,6 +1,7 @@
 """SS3: tick stream -> typed Parquet table + dead letters + ingest metrics.
 
-Each micro-batch is validated once (persisted for its three writes) and
+Each micro-batch is validated once (persisted for its two writes; the metrics are
+observed while the ticks are written) and
 written with the query's own id and the batch id as the innermost partition
 directory, so that any number of streams can feed one table. The sinks
 use dynamic partition overwrite, so when Spark replays a batch after a
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ticklake.operators.ingest import dead_letters, good_ticks, ingest, ingest_metrics
+from ticklake.operators.ingest import dead_letters, good_ticks, ingest, observed, observed_metrics
 from ticklake.sources.sinks import append_ticks, write_dead_letters
 
 
@@ -39,10 +40,11 @@ def ingest_batch(raw: DataFrame, batch_id: int, table_root: str, dead_root: str,
     name = batch_name(batch_id, owner)
     validated = ingest(raw).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        append_ticks(good_ticks(validated), table_root, name)
+        counted, seen = observed(validated)
+        append_ticks(good_ticks(counted), table_root, name)
         write_dead_letters(dead_letters(validated), dead_root, name)
         if metrics_root:
-            (ingest_metrics(validated).withColumn("batch", F.lit(name))
+            (observed_metrics(raw.sparkSession, seen).withColumn("batch", F.lit(name))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("batch").json(metrics_root))
     finally:
