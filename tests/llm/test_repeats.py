@@ -72,11 +72,21 @@ def test_made_documents_match_brute_force(spark):
     texts = made(3)
     docs = spark.createDataFrame([(i, t, i) for i, t in enumerate(texts)], "doc_id int, text string, key int")
     want = brute(texts, 200)
-    for limit in (1000, 4):
+    for limit in (100_000, 4):
         got = remove_repeats(docs, group_limit=limit).orderBy("doc_id").collect()
         assert [(r["n_bytes"], sum(b - a for a, b in r["spans"]), len(r["spans"]), hashlib.sha256(r["kept"]).hexdigest()) for r in got] == want
 
 
+def test_a_passage_in_thousands_of_texts(spark):
+    rng = random.Random(9)
+    passage = " ".join(rng.choice("river stone cloud haven moor lantern task birch quote sell".split()) + str(i) for i in range(50))
+    texts = [f"{i} {i * 7919} {passage} {i * 104729} end" for i in range(5000)] + ["z " + passage[:150], passage[1:230] + "q"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    want = brute(texts, 200)
+    got = remove_repeats(docs).orderBy("doc_id").collect()
+    assert [(r["n_bytes"], sum(b - a for a, b in r["spans"]), len(r["spans"]), hashlib.sha256(r["kept"]).hexdigest()) for r in got] == want
+
+
 def test_query_matches_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").collect()
     got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in op7_repeats(spark, SF).collect()}

@@ -4,7 +4,9 @@ Every ``length``-byte string that starts at two places of the corpus is removed
 from both. Three steps find these places:
 
 1. Anchors. The smallest hash of the ``GRAM``-byte strings within each window of
-   ``length`` bytes is the window's anchor: equal windows have equal anchors. A
+   ``length`` bytes marks a place in it. A window that has it in its first half holds
+   over half of ``length`` bytes from there on, another one as many up to there: the hash of
+   these bytes is the window's anchor, and equal windows have equal anchors. A
    run of windows with one anchor and the bytes they cover is a context. Only
    anchors found at two places or more go on; equal contexts are counted, and
    all windows of a context found twice or more are repeated.
@@ -19,8 +21,9 @@ from both. Three steps find these places:
    first kept apart in round h have a common prefix of h - 1 bytes; rows still
    in one block after ``length`` rounds are a repeated interval.
 
-An anchor with more contexts than ``group_limit`` is not gathered: its windows
-are counted by hash over the whole cluster.
+An anchor with more different contexts than ``group_limit`` is not gathered: its windows
+are counted by hash over the whole cluster, which gives the same rows. Equal contexts are counted before
+they meet, so that copies, however many, are one context.
 
 Defined cases: a null or empty text has nothing to remove; texts shorter than
 ``length`` neither; a string that overlaps itself counts; rows that repeat an id
@@ -35,7 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ticklake.llm.common import table, written
@@ -60,7 +63,7 @@ def _gram_hashes(raw: np.ndarray) -> np.ndarray:
 
 
 def contexts(raw: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, first window, end) of the runs of windows with one anchor."""
+    """(anchor, first window, end) of the runs of windows with one anchor."""
     n = len(raw) - length + 1
     if n <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -78,7 +81,23 @@ def contexts(raw: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.n
     anchor = (low[first] & _POSITION).astype(np.int64)
     if len(raw) > int(_POSITION):
         anchor = first + ((anchor - first) & int(_POSITION))
-    return h[anchor], first, end
+    # cut each run where its mark passes from the second half of the window to the first
+    half = (length - GRAM) // 2
+    cut_ = np.clip(anchor - half, first, end)
+    left, right = cut_ > first, end > cut_
+    begin = np.r_[first[left], cut_[right]]
+    hashes = np.r_[_spanned(h, anchor[left] - half - 1, half + 1 + GRAM, 1), _spanned(h, anchor[right], length - half, 2)]
+    order = np.argsort(begin, kind="stable")
+    return hashes[order], begin[order], np.r_[cut_[left], end[right]][order]
+
+
+def _spanned(grams: np.ndarray, at: np.ndarray, size: int, seed: int) -> np.ndarray:
+    """A hash of the ``size`` bytes from each place of ``at``, from the hashes of the grams that cover them."""
+    out = np.full(len(at), seed, np.uint64)
+    for k in (*range(0, size - GRAM, GRAM), size - GRAM):
+        out = (out ^ grams[at + k]) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(32)
+    return out
 
 
 def _anchors(length: int):
@@ -112,14 +131,18 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.xxhash64(F.col(id_col).cast("string"), text_col).alias("key"), F.col(text_col).alias("text"))
 
 
-def shared_contexts(rows: DataFrame, length: int) -> DataFrame:
-    """Contexts whose anchor is found at two places or more, with ``n``, the places of the whole context."""
+def shared_contexts(rows: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+    """(found, kinds). found: every context (key, anchor, context, first, end). kinds: the different ones whose anchor is found
+    at two places or more, with ``n``, the places of the whole context, one of them (``c``), and of its anchor the number of
+    kinds and of those found once."""
     found = written(rows.filter(F.octet_length("text") >= length).mapInPandas(
         _anchors(length), "key long, anchor long, context long, first int, end int"), "repeats-anchors")
-    shared = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("anchor")
-    found = written(found.join(shared, "anchor"), "repeats-found")
-    places = found.groupBy("anchor", "context").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("one"))
-    return written(found.join(places, ["anchor", "context"]), "repeats-shared")
+    # equal contexts are one row before anything is dealt out by anchor
+    places = found.groupBy("anchor", "context").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "first", "end")).alias("c"))
+    whole = Window.partitionBy("anchor")
+    kinds = (places.withColumns({"m": F.sum("n").over(whole), "kinds": F.count(F.lit(1)).over(whole), "open": F.count_if(F.col("n") == 1).over(whole)})
+             .filter("m > 1").drop("m"))
+    return found, written(kinds, "repeats-kinds")
 
 
 def merge_shards(shards: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -236,14 +259,11 @@ def _windows(length: int):
 
 def repeated_windows(rows: DataFrame, length: int, group_limit: int) -> DataFrame:
     """(key, first, end): runs of windows that start at another place too."""
-    shared = shared_contexts(rows, length)
+    found, kinds = shared_contexts(rows, length)
+    twice = found.join(kinds.filter("n > 1").select("anchor", "context"), ["anchor", "context"], "left_semi")
     # contexts found once, and one copy of each other one beside them
-    open_ = shared.filter("n = 1").groupBy("anchor").agg(F.count(F.lit(1)).alias("m"))
-    one = shared.filter("n = 1 or key = one").groupBy("anchor", "context").agg(
-        F.first(F.struct("key", "first", "end", "n")).alias("c")).join(open_, "anchor")
-    sizes = one.groupBy("anchor").agg((F.count(F.lit(1)) > group_limit).alias("hot"))
-    wanted = one.join(sizes, "anchor").groupBy("c.key").agg(F.collect_list(
-        F.struct("anchor", "c.first", "c.end", "c.n", "hot")).alias("wanted"))
+    wanted = kinds.filter("open > 0").groupBy("c.key").agg(F.collect_list(
+        F.struct("anchor", "c.first", "c.end", "n", (F.col("kinds") > group_limit).alias("hot"))).alias("wanted"))
     text = rows.join(wanted.hint("shuffle_hash"), "key")
     bodies = written(text.mapInPandas(_cut_contexts(length), "key long, anchor long, first int, n long, hot boolean, body binary"), "repeats-contexts")
     merged = (bodies.filter("not hot").repartition("anchor").sortWithinPartitions("anchor")
@@ -251,10 +271,10 @@ def repeated_windows(rows: DataFrame, length: int, group_limit: int) -> DataFram
     windows = bodies.filter("hot").mapInPandas(_windows(length), "key long, at int, n long, window long")
     often = windows.groupBy("window").agg(F.count(F.lit(1)).alias("places")).filter("places > 1").select("window")
     single = windows.filter("n = 1").join(often, "window").select("key", F.col("at").alias("first"), (F.col("at") + 1).alias("end"))
-    return shared.filter("n > 1").select("key", "first", "end").unionByName(merged).unionByName(single)
+    return twice.select("key", "first", "end").unionByName(merged).unionByName(single)
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200, group_limit: int = 1000) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200, group_limit: int = 100_000) -> DataFrame:
     """A row for each document: id, bytes, removed runs [first, end) and what is left (binary)."""
     rows = _rows(docs, id_col, text_col)
     runs = (repeated_windows(rows, length, group_limit).groupBy("key")
