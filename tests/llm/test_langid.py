@@ -53,6 +53,12 @@ def test_mixed_text_splits_into_spans_and_scripts_narrow(spark):
     assert m.label(["вместе"])[0][0] == "ru"
 
 
+def test_numbers_are_no_letters_and_unseen_grams_are_alike(spark):
+    m = model(spark)
+    assert [x[0] for x in m.label(["½ ² ①", "١٢٣ 45 _", "Ⅷ", "x½"])] == ["und", "und", m.label(["Ⅷ"])[0][0], m.label(["x"])[0][0]]
+    assert m.label(["½ ² ①"])[0][1] == 0.0 and np.allclose(m.logp[-1], m.logp[-1, 0])
+
+
 def test_defined_cases(spark):
     long = "the house " * 60_000
     rows = [(1, None, "en"), (2, "", None), (3, "12 !!", "en"), (4, "the house and the garden", "en"), (4, "the house and the garden", "en"),

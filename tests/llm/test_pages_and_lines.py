@@ -35,6 +35,44 @@ def test_parts_that_are_not_the_article(spark):
     assert got == {1: "", 2: "", 3: "no markup at all", 4: "", 5: "\n\n".join(["abc d"] * 50_000), 6: "", 7: "a"}
 
 
+def test_pages_made_to_mislead(spark):
+    long = "A paragraph of the story that goes on for quite some words, as they do."
+    body = f"<p>{long}</p><p>Second: {long}</p>"
+    want = f"{long}\n\nSecond: {long}"
+    assert main_text(f"<html><body><article><p>x</p></article><div>{body}</div></body></html>").endswith(want)
+    assert main_text(f"<body><form action=/><nav><a href=/>Home</a></nav><article>{body}</article></form></body>") == want
+    assert main_text(f"<body><article><form>{body}</form></article></body>") == want
+    assert main_text(f"<body><article>{body}<form><input><label>Mail</label></form></article></body>") == want
+    assert main_text(f"<article><svg><g><svg><text>a</text></svg><text>b</text></g></svg>{body}</article>") == want
+    assert main_text(f"<html><head><title>Open<body><article>{body}</article>") == want
+    assert extract(spark.createDataFrame([], "page_id int, html string, text string")).collect() == []
+
+
+def test_surge_and_dive_by_a_plain_model():
+    """Pages without an article: the stretches between surge and dive of the sums, worked out line by line."""
+    import random
+
+    rng = random.Random(4)
+    for _ in range(200):
+        sizes = [rng.choice([0, 0, 0, 0, 3, 40, 90]) for _ in range(rng.randint(1, 25))]
+        lines = [f"{i:02d}" + "x" * (n - 2) if n else "" for i, n in enumerate(sizes)]
+        page = "".join(f"<p>{x}</p>" if x else "<nav><a href=/>m</a></nav>" for x in lines)
+        rows = []  # as the extractor sees them: three empty lines for each part
+        for x in lines:
+            rows += [x] if x else [""] * 3
+        sums = [sum(len(x) for x in rows[i:i + 3]) for i in range(len(rows))]
+        stretches, now = [], []
+        for i, s in enumerate(sums):
+            if s:
+                now.append(i)
+            if now and (not s or i == len(sums) - 1):
+                stretches.append(now)
+                now = []
+        peak = max(sums, default=0)
+        want = [rows[i] for st in stretches if max(sums[i] for i in st) >= 0.2 * peak for i in st if rows[i]]
+        assert main_text(page) == "\n\n".join(want)
+
+
 def test_recurring_templates_go_and_the_rest_stays(spark):
     rows = [(i, f"own words number{i} here\nUpdated by user{i} at 12:{i}\nShare this page with {'abcdefghijklmnopqrstuvwxyz'[i % 26] * 3}\nlast {i * 'x'}", "k") for i in range(12)]
     rows += [(100, None, None), (101, "", "k"), (102, "one\n\none", "k"), (None, "Updated by user9 at 3:4", "k"), (11, "Updated by  user1 at 9", "k"),

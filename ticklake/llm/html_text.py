@@ -5,13 +5,13 @@ footers, sidebars, notices, adverts, forms, comments, scripts and styles leave
 empty lines. The text lengths of ``window`` lines are summed at each line: the
 text begins where this sum surges from nothing and ends where it dives to
 nothing. Every such stretch whose highest sum reaches a share of the page's
-highest is kept whole. Inside an ``article`` or ``main`` element every line
-counts with its full length; elsewhere link text counts for nothing, and lines
-outside count only if the page has no such element.
+highest is kept whole. Where ``article`` and ``main`` elements hold half of the text or more, every line
+in them counts with its full length and those outside for nothing; else link text counts for nothing.
 
 Defined cases: a null or blank page has the empty text; markup that is cut off
 is dropped from where it opens; unclosed elements end with the element around
-them; pages that repeat stay; text of any length is kept whole.
+them; pages that repeat stay; text of any length is kept whole; a form around the page is no part of it; a title that is not
+closed ends at the next tag; other columns stay.
 """
 
 from __future__ import annotations
@@ -92,8 +92,7 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
             continue
         name = name.lower()
         if not closing and name in RAW and not rest.endswith("/"):
-            end = re.compile(f"</{re.escape(name)}\\b[^>]*(?:>|\\Z)", re.I).search(page, at)
-            at = end.end() if end else size
+            at = _raw_end(page, at, name)
             continue
         if skip:
             if not closing and name in ("article", "main") and not seen_article and not _labels(rest):
@@ -127,6 +126,8 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
         labels = _labels(rest)
         is_part = name in PARTS and not (name == "header" and depth) or (labels and name not in ("html", "body") and not (
             name in ("article", "main") and not labels & {"comment", "comments", "reply", "teaser", "related"}))
+        if is_part and name == "form" and not labels and _holds_page(page, at):
+            is_part = False
         if is_part and not rest.endswith("/"):
             end_line()
             lines += [("", 0, False)] * 3
@@ -140,10 +141,38 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
     return lines
 
 
+#: Raw elements that can hold one another.
+_NESTED = frozenset("svg math object noscript template".split())
+
+
+def _raw_end(page: str, at: int, name: str) -> int:
+    """Where a raw element ends that was opened before ``at``; a title or text field that is not closed ends with its line."""
+    depth, tag = 1, re.compile(f"<(/?){re.escape(name)}\\b[^>]*(?:>|\\Z)", re.I)
+    for m in tag.finditer(page, at):
+        depth += -1 if m.group(1) else name in _NESTED and not m.group(0).endswith("/>")
+        if not depth:
+            return m.end()
+    if name in ("title", "textarea"):
+        line = re.compile(r"[<\n]").search(page, at)
+        return line.start() if line else len(page)
+    return len(page)
+
+
+def _holds_page(page: str, at: int) -> bool:
+    """Whether a form opened before ``at`` is the frame of a page: it holds an article, or most of the paragraphs."""
+    end = re.compile(r"</form\b", re.I).search(page, at)
+    inner = page[at:end.start() if end else len(page)]
+    if re.search(r"<(?:article|main)\b", inner, re.I):
+        return True
+    return 2 * len(re.findall(r"<p\b", inner, re.I)) > max(2, len(re.findall(r"<p\b", page, re.I)))
+
+
 def main_text(page: str | None, window: int = 3, surge_share: float = 0.2) -> str:
     """Blocks of the main text, joined by an empty line."""
     lines = page_lines(page) if page else []
-    framed = any(inside for _, _, inside in lines)
+    # an article that holds little of the text is one among others, not the frame of the page
+    whole = sum(max(0, len(t) - linked) for t, linked, _ in lines)
+    framed = 2 * sum(len(t) for t, _, inside in lines if inside) >= max(1, whole)
     weights = [(len(t) if inside else 0) if framed else max(0, len(t) - linked) for t, linked, inside in lines]
     n = len(lines)
     sums = [sum(weights[i:i + window]) for i in range(n)]

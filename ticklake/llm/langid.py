@@ -1,14 +1,15 @@
 """Language ID: script ranges, then Viterbi over per-word scores (operator 8).
 
 Training counts character trigrams of words by language in every training
-document (counted inside the tasks, summed by Spark); the model keeps the
-``max_grams`` most frequent trigrams of each language and the scripts that hold
+document (counted inside the tasks, summed by Spark); the model keeps every
+trigram that is ``min_share`` of a language's trigrams or more, at most ``1 / min_share`` of them by that, and the scripts that hold
 at least ``min_script_share`` of its words. A word's score for a language is the
-log probability of its trigrams; a language whose scripts do not include the
+log probability of its trigrams, one that was not kept having the same for all languages; a language whose scripts do not include the
 word's is no candidate for it. Viterbi with a switching penalty then labels each
 word of a text, so that mixed texts split into spans.
 
-Defined cases: a null text, or one without a letter, is ``und`` with score 0; a
+Defined cases: a null text, or one without a letter, is ``und`` with score 0; rows that repeat are learned and labelled each;
+texts of any length are labelled whole; a
 word in a script that no language has scores alike for all; ties go to the
 language with the better path score, then to the first by name; an empty
 training set makes every document ``und``; extra columns are ignored.
@@ -24,12 +25,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.llm.common import table
+from ticklake.llm.common import cut, table
 
-_WORD = re.compile(r"[^\W\d_]+")
+# characters that count as word characters for their numeric value, such as fractions and circled digits, are no letters
+_NUMBERS = "".join(c for c in map(chr, range(0x110000)) if c.isnumeric() and not c.isalpha())
+_WORD = re.compile(f"[^\\W\\d_{re.escape(_NUMBERS)}]+")
 #: Distinct words that a task keeps at hand before it turns them into trigrams, or drops their scores.
 _REMEMBERED = 300_000
 
@@ -166,22 +169,25 @@ def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"lang": lang, "gram": list(c), "n": list(c.values())})
 
 
-def train(labelled: DataFrame, max_grams: int = 20_000, min_script_share: float = 0.01, switch: float = 12.0) -> LanguageModel:
-    """A model from every row of ``labelled`` (text, lang); ``max_grams`` bounds its size for each language."""
+def train(labelled: DataFrame, min_share: float = 2e-6, min_script_share: float = 0.01, switch: float = 12.0) -> LanguageModel:
+    """A model from every row of ``labelled`` (text, lang); ``min_share`` bounds its size for each language, whatever the corpus."""
     counts = (labelled.select("lang", "text").dropna().mapInPandas(_count_grams, "lang string, gram string, n long")
               .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     is_script = F.col("gram").startswith("script ")
-    best = Window.partitionBy("lang", is_script).orderBy(F.desc("n"), "gram")
-    kept = (counts.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= max_grams)
-            .select("lang", "gram", "n").toPandas())
+    counts = cut(counts)
+    totals = counts.groupBy("lang", is_script.alias("script")).agg(F.sum("n").alias("total"))
+    kept = counts.withColumn("script", is_script).join(totals, ["lang", "script"]).filter(F.col("script") | (F.col("n") >= min_share * F.col("total"))).toPandas()
     langs = sorted(kept["lang"].unique())
-    scripts = kept["gram"].str.startswith("script ")
+    scripts = kept["script"]
     grams = kept[~scripts]
     names = sorted(grams["gram"].unique())
     rows = {g: i for i, g in enumerate(names)}
     n = np.zeros((len(names) + 1, len(langs)))
     n[grams["gram"].map(rows).to_numpy(int), grams["lang"].map({x: i for i, x in enumerate(langs)}).to_numpy(int)] = grams["n"]
-    logp = np.log((n + 0.5) / (n.sum(axis=0) + 0.5 * len(n))) if langs else n
+    total = grams.groupby("lang")["total"].first().reindex(langs).to_numpy(float)
+    # what is not kept has one share in all languages: half a count of the smallest, or what was cut off
+    unseen = max(0.5 / total.min(), min_share / 2) if langs else 1.0
+    logp = np.log(n / total + unseen) if langs else n
     allowed = np.zeros((len(SCRIPTS), len(langs)), bool)
     for j, x in enumerate(langs):
         own = kept[scripts & (kept["lang"] == x)]
@@ -217,7 +223,11 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
-    """Rows whose text has a language holding ``min_score`` of its letters; columns as given."""
+    """Rows whose text has a language holding ``min_score`` of its letters; columns as given.
+
+    A null text, an empty one and one without a letter go; rows that repeat are judged each; rows without an id are not learned
+    from and judged as others; without a labelled row there is no language, and all rows go.
+    """
     model = train(docs.filter(F.col("doc_id").isNotNull() & ~held_out()))
     name = next(n for n in ("language", *(f"language{i}" for i in range(len(docs.columns) + 1))) if n not in docs.columns)
     found = identify(docs, model, out=name)
