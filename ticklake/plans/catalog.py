@@ -219,7 +219,7 @@ def stream_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "stream_ingest_outputs": ingest_outputs, "stream_batches": batches, "stream_subscribed": subscribed}
 
 
-def _stored(spark: SparkSession, sf_dir: str, batches: int = 3) -> str:
+def _stored(spark: SparkSession, sf_dir: str, batches: int = 2) -> str:
     """A tick table of the whole ``events``, appended in ``batches`` named writes."""
     root = scratch_path(spark, "stored-ticks")
     ticks = fixture_ticks(spark, sf_dir)
@@ -240,7 +240,7 @@ def stored_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         """All rows, after every closed day was compacted and one of the merged batches was written again."""
         root = _stored(spark, sf_dir)
         compact_table(spark, root, today=CLOSED)
-        append_ticks(fixture_ticks(spark, sf_dir).where(F.pmod("sequence", F.lit(3)) == 1), root, "b1")
+        append_ticks(fixture_ticks(spark, sf_dir).where(F.pmod("sequence", F.lit(2)) == 1), root, "b1")
         return round_doubles(_ntz(scan_ticks(spark, root)))
 
     def fragmented(spark: SparkSession, sf_dir: str) -> DataFrame:
