@@ -23,6 +23,42 @@ def groups(fps, ids):
         label = new
 
 
+def plain_copies(texts, ids):
+    """The first id of each group of texts whose sets of five-word shingles are alike in 0.8 or more, linked in chains."""
+    sets = []
+    for t in texts:
+        w = (t or "").split()
+        sets.append({tuple(w[i:i + 5]) for i in range(len(w) - 4)} or {tuple(w)})
+    label, again = list(ids), True
+    while again:
+        again = False
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets):
+                if label[j] < label[i] and 10 * len(a & b) >= 8 * len(a | b) and any(a) and any(b):
+                    label[i], again = label[j], True
+    return label
+
+
+def test_near_copies_by_expressions(spark):
+    from ticklake.llm.line_templates import near_copies
+
+    draw = random.Random(3)
+    words = ["".join(draw.choices("abcdefghij", k=5)) for _ in range(400)]
+    base = [" ".join(draw.choices(words, k=n)) for n in (60, 200, 200, 2000, 3)]
+    rows = []
+    for t in base:
+        for _ in range(30):
+            w = t.split()
+            if len(w) > 100:
+                w[draw.randrange(len(w))] = "edited" + "".join(draw.choices("klmno", k=4))
+            rows.append((len(rows), " ".join(w)))
+    rows += [(1000 + i, base[0] + "\n" + " ".join(draw.choices(words, k=150))) for i in range(30)] + [(2000, None), (2001, ""), (None, base[0]), (2002, " \t ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as h", "2 as words")
+    got = {r["id"]: r["component"] for r in near_copies(docs).collect()}
+    assert {i: got.get(i, i) for i in range(150)} == {i: i // 30 * 30 for i in range(150)} and not [i for i in got if i >= 1000]
+    assert "Python" not in near_copies(docs)._jdf.queryExecution().executedPlan().toString() and near_copies(docs.limit(0)).collect() == []
+
+
 def test_stages_against_plain_versions(spark):
     import duckdb
 
@@ -40,8 +76,7 @@ def test_stages_against_plain_versions(spark):
         elif name == "line_dedup":
             c = duckdb.connect()
             c.register("documents", before[["doc_id", "text"]])
-            label = groups([simhash64(t) for t in before["text"]], before["doc_id"])
-            c.register("grouped", before[["doc_id"]].assign(component=label))
+            c.register("grouped", before[["doc_id"]].assign(component=plain_copies(before["text"], before["doc_id"])))
             sql = SQL["op9_line_templates"].replace("sha256(coalesce(kept, ''))", "coalesce(kept, '')")
             # near copies count once
             assert "FROM u JOIN ok USING (m) GROUP BY template HAVING count(DISTINCT doc_id)" in sql
@@ -92,7 +127,6 @@ def test_one_whole_text_of_many_near_copies_stays(spark):
     rows = [(i, "\n".join(f"{x} {w}" if k == i % 20 else x for k, x in enumerate(lines))) for i, w in enumerate("ash elm oak fir yew bay fig gum box sal ivy nut".split())]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     fps = [simhash64(t) for _, t in rows]
-    assert len(set(groups(fps, range(12)))) < 10  # near copies by the measure of the next stage
     cleaned = corpus_pipeline.line_dedup(spark, docs, SF)
     assert {r["doc_id"]: r["text"] for r in cleaned.collect()} == dict(rows)
     kept = corpus_pipeline.simhash_near_dedup(spark, cleaned, SF).collect()

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticklake.llm.common import cut, table, written
-from ticklake.llm.simhash import near_duplicates
+from ticklake.llm.simhash import components
 
 _SPACE = r"[\x09\x0B-\x0D][\x20\x09\x0B-\x0D]*|\x20[\x20\x09\x0B-\x0D]+"
 _FIELD = "<*>"
@@ -96,19 +96,50 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
                          F.coalesce(F.size(text) - F.size("kept"), F.lit(0)).cast("long").alias("n_dropped"))
 
 
+#: Near copies: words of a shingle, least similarity, and bits that give a shingle its bin and a bin its band.
+_SHINGLE, _SIMILAR, _BIN_BITS, _BAND_BITS = 5, 0.8, 7, 4
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, component) of the documents that have near copies; component is the smallest id of a group.
+
+    The least hash of a text's word shingles in each of 128 bins is its sketch. Documents with an equal band of four bins are
+    compared with the first of them, and belong together if their sketches agree in 0.8 or more of their shingles.
+    Expressions only; a document meets one other in each of its 16 bands, however many copies there are. Rows without an id or a word are left out.
+    """
+    plain = F.trim(F.regexp_replace(F.col(text_col), r"[\x09-\x0D\x20]+", " "))
+    rows = docs.select(F.col(id_col).alias("id"), F.split(plain, " ").alias("words")).filter(F.col("id").isNotNull() & (F.element_at("words", 1) != ""))
+    n = F.size("words")
+    some = F.transform(F.arrays_zip(*[F.slice("words", k + 1, n - _SHINGLE + 1).alias(f"w{k}") for k in range(_SHINGLE)]),
+                       lambda z: F.xxhash64(*[z[f"w{k}"] for k in range(_SHINGLE)]))
+    hashes = F.when(n >= _SHINGLE, some).otherwise(F.array(F.xxhash64("words")))
+    rows = rows.select("id", F.array_sort(hashes).alias("h"))
+    bin_of = lambda x: F.shiftrightunsigned(x, 64 - _BIN_BITS)
+    least = F.filter("h", lambda x, i: (i == 0) | (bin_of(x) != bin_of(F.get("h", i - 1))))
+    sketches = rows.select("id", least.alias("sketch")).groupBy("id").agg(F.min("sketch").alias("sketch"))
+    sketches = written(sketches, "line-sketches")
+    # four of the eight bins of a band, so that one edit seldom spoils it
+    band = lambda b: F.filter("sketch", lambda x: F.shiftrightunsigned(x, 63 - _BAND_BITS) == 2 * b)
+    bands = F.filter(F.array(*[F.struct(F.lit(b).alias("b"), band(b).alias("x")) for b in range(1 << _BAND_BITS)]), lambda z: F.size(z["x"]) > 0)
+    keys = sketches.select("id", F.explode(F.transform(bands, lambda z: F.xxhash64(z["b"], z["x"]))).alias("band"))
+    first = keys.groupBy("band").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("band", "first")
+    met = keys.join(first, "band").filter("id != first").select("id", "first").distinct()
+    both = (met.join(sketches, "id").join(sketches.select(F.col("id").alias("first"), F.col("sketch").alias("other")), "first"))
+    alike = F.size(F.array_intersect("sketch", "other")) >= _SIMILAR * F.size(F.array_union("sketch", "other"))
+    return components(both.filter(alike).select(F.col("first").alias("a"), F.col("id").alias("b"))).select(F.col("node").alias("id"), F.col("root").alias("component"))
+
+
 def without_recurring_lines(docs: DataFrame) -> DataFrame:
     """The documents left with text, their recurring lines taken out; columns as given.
 
-    A group of near copies (``simhash.near_duplicates``) counts once for a template, so that lines of a
+    A group of near copies (``near_copies``) counts once for a template, so that lines of a
     text that is only copied, with edits or without, stay whole in all of them, and a later
     stage can keep one. A masked line that itself recurs goes also where edited variants made its positions fields.
 
     A null text stays; rows with one id count once; rows without an id count as one document; a document
     that loses every line goes, one without text from the start stays; an empty table gives no rows.
     """
-    found = near_duplicates(docs).filter("doc_id is not null")
-    groups = cut(found.groupBy(F.col("doc_id").alias("id")).agg(F.min("component_id").alias("component")))
-    rows = drop_recurring_lines(docs, groups=groups, whole_lines=True)
+    rows = drop_recurring_lines(docs, groups=near_copies(docs), whole_lines=True)
     rows = rows.filter((F.col("n_dropped") == 0) | (F.trim(F.regexp_replace("row.text", r"\s+", " ")) != ""))
     return rows.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
