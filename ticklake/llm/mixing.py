@@ -44,6 +44,8 @@ BLOCK_WORDS = 128
 SHARD_SLOTS = 4096
 #: Slots that one call draws, on average.
 PART_SLOTS = 1 << 18
+#: Tasks that draw at most; with more parts than that, a task draws several.
+MOST_TASKS = 1 << 15
 SEED = 13
 _ROUNDS = 4
 _EMIT = 1 << 16
@@ -170,9 +172,11 @@ def slots(sources: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int =
 
     of = sources.filter("words > 0").select("name", "words", "target").mapInPandas(count, "name string, blocks long, slots long, last long")
     of = written(of, "mix-counts")
-    shards = max(1, -(-int(of.agg(F.sum("slots")).first()[0] or 0) // shard_slots))
     depth = F.greatest(F.lit(0), F.ceil(F.log2(F.col("slots") / F.lit(float(part_slots))))).cast("int")
-    parts = of.filter("slots > 0").withColumn("depth", depth).withColumn("part", F.explode(F.expr("sequence(0L, shiftleft(1L, depth) - 1)")))
+    of = of.filter("slots > 0").withColumn("depth", depth)
+    total, n_parts = of.agg(F.sum("slots"), F.sum(F.expr("shiftleft(1L, depth)"))).first()
+    shards = max(1, -(-int(total or 0) // shard_slots))
+    parts = of.withColumn("part", F.explode(F.expr("sequence(0L, shiftleft(1L, depth) - 1)")))
 
     def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for r in (r for b in batches for r in b.itertuples()):
@@ -186,7 +190,8 @@ def slots(sources: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int =
                     words = np.where(slot == r.slots - 1, r.last, block_words)
                     yield pd.DataFrame({"shard": shard, "name": r.name, "slot": slot, "block": block, "words": words})
 
-    return parts.repartition("name", "part").mapInPandas(draw, "shard long, name string, slot long, block long, words long")
+    # with a number given the parts, a few bytes each, are not coalesced into one task
+    return parts.repartition(max(1, min(int(n_parts or 0), MOST_TASKS))).mapInPandas(draw, "shard long, name string, slot long, block long, words long")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weights: tuple[int, ...] = WEIGHTS,
