@@ -59,6 +59,26 @@ def test_segmentation_is_optimal(scores):
         assert abs(got - plain(model, escaped)) < 1e-6, w
 
 
+def test_long_parts_are_optimal_at_any_window(monkeypatch):
+    """Windows that cut pieces and characters, against the plain recursion and the step-wise search."""
+    from ticklake.llm import unigram
+
+    rng = random.Random(8)
+    words = ["".join(rng.choice(f"etaoinshréü☃日本\U0001F600{MARK}x") for _ in range(rng.randint(70, 900))) for _ in range(12)] + ["a" * 700, MARK * 200]
+    want = [UnigramModel.load()._viterbi([(MARK + w).replace(MARK, "\0").encode()])[0].tolist() for w in words]
+    for window in (1, 7, 64, 1 << 16):
+        monkeypatch.setattr(unigram, "_WINDOW", window)
+        model = UnigramModel.load()
+        assert [model._long((MARK + w).replace(MARK, "\0").encode())[0].tolist() for w in words] == want
+        assert [model.decode(x) for x in model.encode(words)] == words
+    for w in words[:4]:
+        w = w.replace(MARK, "y")
+        [ids] = model.encode([w])
+        raw = bytes(model.byte_of[i] for i in ids if i in model.byte_of)
+        got = sum(model.score[i] for i in ids if i not in model.byte_of) + model.unknown * len(raw.decode())
+        assert abs(got - plain(model, MARK + w)) < 1e-6
+
+
 def test_same_pieces_as_the_public_library(tmp_path):
     """The library's own unigram encoder with the same pieces and scores."""
     pb = pytest.importorskip("sentencepiece.sentencepiece_model_pb2")

@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import itertools
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -46,6 +47,8 @@ _LITERAL = b"\xff"
 #: A code point that no valid text holds.
 _ESCAPED = "\udfff"
 _IN_STEP = 64
+#: Bytes of a longer part whose edges are held at a time.
+_WINDOW = 1 << 16
 #: Characters of parts whose ids a task keeps at hand; beyond it they are dropped and found anew.
 _REMEMBERED = 1_000_000
 #: Text whose ids and decodings a task holds at a time.
@@ -203,7 +206,7 @@ class UnigramModel:
             while end < len(order) and end - at < 20_000 and len(parts[order[end]]) <= _IN_STEP and size < 250_000:
                 size += len(parts[order[end]])
                 end += 1
-            ids, count = self._viterbi([parts[i] for i in order[at:end]])
+            ids, count = self._long(parts[order[at]]) if size > _IN_STEP and end == at + 1 else self._viterbi([parts[i] for i in order[at:end]])
             found.append(ids)
             sizes.append(count)
             at = end
@@ -237,17 +240,14 @@ class UnigramModel:
         a, b, piece, score, of, step = a[sort] + of[sort], b[sort] + of[sort], piece[sort], score[sort], of[sort], step[sort]
         best, back = np.full(n + len(parts), -np.inf), np.full(n + len(parts), -1)
         best[begins + np.arange(len(parts))] = 0.0
-        if len(parts) == 1:
-            self._one(best, back, a, b, score)
-        else:
-            # edges of one step and part end apart, so that no two write to one place
-            cuts = np.r_[np.flatnonzero(np.r_[True, step[1:] != step[:-1]]), len(step)] if len(step) else [0]
-            for x, y in zip(cuts[:-1], cuts[1:]):
-                cand = best[a[x:y]] + score[x:y]
-                to = b[x:y]
-                win = cand > best[to]
-                best[to[win]] = cand[win]
-                back[to[win]] = np.arange(x, y)[win]
+        # edges of one step and part end apart, so that no two write to one place
+        cuts = np.r_[np.flatnonzero(np.r_[True, step[1:] != step[:-1]]), len(step)] if len(step) else [0]
+        for x, y in zip(cuts[:-1], cuts[1:]):
+            cand = best[a[x:y]] + score[x:y]
+            to = b[x:y]
+            win = cand > best[to]
+            best[to[win]] = cand[win]
+            back[to[win]] = np.arange(x, y)[win]
         return self._trace(raw, begins, ends, a, b, piece, back)
 
     def _trace(self, raw, begins, ends, a, b, piece, back) -> tuple[np.ndarray, np.ndarray]:
@@ -265,28 +265,60 @@ class UnigramModel:
         of, edges = np.concatenate(of), np.concatenate(edges)
         order = np.lexsort((-turn, of))
         of, edges = of[order], edges[order]
-        ids, miss = piece[edges].astype(np.int32), piece[edges] < 0
-        if not len(self.byte_ids):
-            return np.where(miss, self.unknown_id, ids).astype(np.int32), np.bincount(of, minlength=len(begins))
-        # an unknown character becomes one piece for each of its bytes
         start = a[edges] - of
-        literal = miss & (raw[np.minimum(start, len(raw) - 1)] == _LITERAL[0])
-        width = np.where(miss, np.where(literal, len(MARK.encode("utf-8")), b[edges] - a[edges]), 1)
-        row = np.repeat(np.arange(len(edges)), width)
+        ids, width = self._pieces(raw, start, b[edges] - a[edges], piece[edges])
+        return ids, np.bincount(of, width, len(begins)).astype(np.int64)
+
+    def _pieces(self, raw, start, size, piece) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the edges in order, and how many each has: an unknown character (-1) becomes one piece for each of its bytes."""
+        miss = piece < 0
+        if not len(self.byte_ids):
+            return np.where(miss, self.unknown_id, piece).astype(np.int32), np.ones(len(piece), np.int64)
+        literal = miss & (raw[start] == _LITERAL[0])
+        width = np.where(miss, np.where(literal, len(MARK.encode("utf-8")), size), 1)
+        row = np.repeat(np.arange(len(piece)), width)
         k = np.arange(len(row)) - np.repeat(np.cumsum(width) - width, width)
         mark = np.frombuffer(MARK.encode("utf-8"), np.uint8)
         byte = np.where(literal[row], mark[np.minimum(k, len(mark) - 1)], raw[np.minimum(start[row] + k, len(raw) - 1)])
-        out = np.where(miss[row], self.byte_ids[np.where(miss[row], byte, 0)], ids[row])
-        return out.astype(np.int32), np.bincount(of, width, len(begins)).astype(np.int64)
-
-    @staticmethod
-    def _one(best, back, a, b, score) -> None:
-        """The same recursion for one long part, edge by edge."""
-        top, come = best.tolist(), back.tolist()
-        for e, (x, y, s) in enumerate(zip(a.tolist(), b.tolist(), score.tolist())):
-            if top[x] + s > top[y]:
-                top[y], come[y] = top[x] + s, e
-        back[:] = come
+        return np.where(miss[row], self.byte_ids[np.where(miss[row], byte, 0)], piece[row]).astype(np.int32), width
+
+    def _long(self, part: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """The same for one long part: the edges of ``_WINDOW`` bytes at a time, of which each place keeps the best that ends there."""
+        raw, n = np.frombuffer(part, np.uint8), len(part)
+        # places count from 0 to n; the edge that wins at a place is its start and its piece
+        best, come, won = np.full(n + 1, -np.inf), np.zeros(n + 1, np.int64), np.full(n + 1, -1, np.int32)
+        best[0] = 0.0
+        for lo in range(0, n, _WINDOW):
+            hi = min(lo + _WINDOW, n)
+            # a character that starts in the window ends within three bytes of it
+            near = np.flatnonzero((raw[lo:hi + 4] & 0xC0) != 0x80) + lo
+            width = np.diff(np.r_[near, min(hi + 4, n)])[near < hi]
+            lead = near[near < hi]
+            a, b, piece = self.trie.matches(raw, lead, np.full(len(lead), n))
+            covered = np.zeros(hi - lo, bool)
+            covered[a[b - a == width[np.searchsorted(lead, a)]] - lo] = True
+            miss = ~covered[lead - lo]
+            score = np.r_[self.score[piece], np.full(int(miss.sum()), self.unknown)]
+            a, b = np.r_[a, lead[miss]], np.r_[b, lead[miss] + width[miss]]
+            piece = np.r_[piece, np.full(int(miss.sum()), -1)]
+            sort = np.argsort(a, kind="stable")
+            a, b, piece, score = a[sort], b[sort], piece[sort], score[sort]
+            end = int(b.max(initial=hi)) + 1
+            top, edge = best[lo:end].tolist(), [-1] * (end - lo)
+            for e, (x, y, s) in enumerate(zip((a - lo).tolist(), (b - lo).tolist(), score.tolist())):
+                if top[x] + s > top[y]:
+                    top[y], edge[y] = top[x] + s, e
+            best[lo:end] = top
+            edge = np.array(edge)
+            new = np.flatnonzero(edge >= 0)
+            come[lo + new], won[lo + new] = a[edge[new]], piece[edge[new]]
+        ends, at = array("q"), n
+        while at > 0:
+            ends.append(at)
+            at = int(come[at])
+        ends = np.frombuffer(ends, np.int64)[::-1]
+        found = [self._pieces(raw, come[e], e - come[e], won[e])[0] for e in np.array_split(ends, len(ends) // _WINDOW + 1)]
+        return np.concatenate(found), np.array([sum(map(len, found))], np.int64)
 
     def decode(self, ids: Iterable[int] | None) -> str | None:
         if ids is None:
