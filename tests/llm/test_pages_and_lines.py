@@ -88,6 +88,29 @@ def test_recurring_templates_go_and_the_rest_stays(spark):
     assert without_recurring_lines(docs.limit(0)).collect() == []
 
 
+def test_recurring_lines_at_any_size(spark):
+    """One line of 60 words, half of its copies with three words edited: the unchanged copies lose it at any size."""
+    import random
+
+    line = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60))
+    for n in (20, 100, 2000):
+        draw, rows = random.Random(n), []
+        for i in range(n):
+            w = line.split()
+            for k in draw.sample(range(60), 3) if i % 2 else ():
+                w[k] = "edit" + "".join(draw.choices("abcdefgh", k=6))
+            rows.append((i, f"own text of {'abcdefghij'[i % 10] * (i + 1)}\n" + " ".join(w)))
+        got = {r["row"]["doc_id"]: r["n_dropped"] for r in drop_recurring_lines(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+        assert all(got[i] for i in range(0, n, 2)), n
+    # a short line whose leading tokens alone recur is no boilerplate
+    rows = [(i, f"in the end {'abcdefghijklmnopqrstuvwxyz'[i] * 3} {'zyxwvutsrqponmlkjihgfedcba'[i] * 4} came") for i in range(26)]
+    got = drop_recurring_lines(spark.createDataFrame(rows, "doc_id int, text string")).agg(F.sum("n_dropped")).first()[0]
+    assert got == 0
+    # an extra column named as those within
+    docs = spark.createDataFrame([(i, "a line that recurs", 1, "x") for i in range(12)], "doc_id int, text string, n int, kept string")
+    assert {(r["row"]["n"], r["row"]["kept"], r["row"]["text"]) for r in drop_recurring_lines(docs).collect()} == {(1, "x", "")}
+
+
 def test_revisits(spark):
     h = lambda **k: [(n.replace("_", "-"), v) for n, v in k.items()]
     rows = [

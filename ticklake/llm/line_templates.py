@@ -2,24 +2,26 @@
 
 A line is cut into tokens; a token with a digit is a variable field at once. The
 tree has a fixed depth: the first level is the token count, the next
-``depth`` levels are the leading tokens. Within a leaf, a position that holds
-more than ``max_children`` different tokens is a variable field too. A line's
-template is its tokens with the variable fields as ``<*>``. A template found in
-at least ``min_docs`` documents, and with at least ``min_fixed`` of its tokens
-fixed, is boilerplate: its lines are dropped from every document.
+``depth`` levels are the leading tokens. Within a leaf, each position keeps the tokens
+that at least one in ``max_children`` of the leaf's lines has there (so at most that many);
+all others share one child, a variable field. That is a share of the lines, so that it does not turn
+over with the size of the corpus. A line's template is its tokens with the variable fields
+as ``<*>``, and its masked line is a template of its own, whatever else its leaf holds. A template needs
+``min_fixed`` of its tokens fixed, one with fields of its leaf as much of those after the leading ones
+too, which are fixed in any case. Found in at least ``min_docs`` documents, it is boilerplate:
+its lines are dropped from every document.
 
 Scale: leaves and templates are counted by partial aggregates of hashes; only
 lines whose leaf occurs in ``min_docs`` documents or more go further, once for
 each document and distinct masked line; no leaf, template or document is ever
-gathered into one task.
+gathered into one task. A leaf's fields are at most ``max_children`` tokens a position.
 
 Defined cases: a null text stays null and has no lines; a blank line has no
 template and stays; line ends are ``\\n``; documents are told apart by id, so
 rows that repeat an id count once for a template, and each row loses the lines;
 rows with a null id count as one document; with ``groups`` (the pipeline)
-near copies count once too; with ``whole_lines`` (the pipeline) a
-masked line in ``min_docs`` documents is boilerplate whatever its leaf holds, so
-that this does not turn over with the number of edited variants; extra columns stay.
+near copies count once too; a document of one line of any length has one template;
+an empty table gives no rows; extra columns stay.
 """
 
 from __future__ import annotations
@@ -55,23 +57,31 @@ def recurring_lines(docs: DataFrame, **options) -> DataFrame:
 
 def _recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = 3,
                max_children: int = 8, min_docs: int = 10, min_fixed: float = 0.5,
-               groups: DataFrame | None = None, whole_lines: bool = False) -> tuple[DataFrame, DataFrame]:
+               groups: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(id, line) of the lines that may recur, and the masked lines that do; ``groups`` (id, component) names documents that count as one."""
     lines = _lines(docs, id_col, text_col, depth)
     # a line of a template is in its leaf: a leaf in fewer documents holds no recurring template
-    leaves = lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_docs).select("leaf")
+    leaves = lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("of")).filter(F.col("of") >= min_docs)
     # as a table of known size, so that Spark can join it without a shuffle of the lines as long as it is small
     near = cut(lines.join(written(leaves, "line-leaves"), "leaf"))
-    masked = near.groupBy("leaf", "line").agg(F.first("masked").alias("masked"))
-    tokens = masked.select("leaf", F.posexplode(F.split("masked", " ")).alias("pos", "token"))
-    fields = (tokens.distinct().groupBy("leaf", "pos").count().filter(F.col("count") > max_children)
-              .groupBy("leaf").agg(F.collect_set("pos").alias("fields")))
-    known = masked.join(fields, "leaf", "left").select(
-        "line", F.array_join(F.when(F.col("fields").isNull(), F.split("masked", " ")).otherwise(F.transform(
-            F.split("masked", " "), lambda t, i: F.when(F.array_contains("fields", i), F.lit(_FIELD)).otherwise(t))), " ").alias("template"))
-    if whole_lines:  # each masked line is a template of its own too, whatever the fields of its leaf
-        known = known.union(masked.select("line", "masked")).distinct()
-    known = known.filter(F.size(F.filter(F.split("template", " "), lambda t: t != _FIELD)) >= min_fixed * F.size(F.split("template", " ")))
+    masked = near.groupBy("leaf", "line").agg(F.first("masked").alias("masked"), F.first("of").alias("of"), F.count(F.lit(1)).alias("n"))
+    tokens = masked.select("leaf", "of", "n", F.posexplode(F.split("masked", " ")).alias("pos", "token"))
+    common = F.col("n") * max_children >= F.col("of")
+    # the tokens that each position keeps, in order of the positions; leaves without a rare token have no fields
+    kept = (tokens.groupBy("leaf", "of", "pos", "token").agg(F.sum("n").alias("n"))
+            .groupBy("leaf", "pos").agg(F.collect_list(F.when(common, F.col("token"))).alias("kept"), F.max(~common).alias("rare"))
+            .groupBy("leaf").agg(F.array_sort(F.collect_list(F.struct("pos", "kept")))["kept"].alias("kept"), F.max("rare").alias("rare"))
+            .filter("rare").drop("rare"))
+    words = F.split("masked", " ")
+    general = F.transform(words, lambda t, i: F.when(F.array_contains(F.get("kept", i), t), t).otherwise(F.lit(_FIELD)))
+    known = masked.join(kept, "leaf", "left").select("line", "masked", "n", F.when(F.col("kept").isNotNull(), general).alias("general"))
+    fixed = lambda x: F.size(F.filter(x, lambda t: t != _FIELD))
+    size, after = F.size(words), F.slice("general", depth + 1, 1 << 30)
+    template = F.array_join("general", " ")
+    # a masked line in fewer rows than that is in fewer documents too
+    whole = F.when((F.col("n") >= min_docs) & (fixed(words) >= min_fixed * size), F.col("masked"))
+    wide = F.when((template != F.col("masked")) & (fixed("general") >= min_fixed * size) & (fixed(after) >= min_fixed * F.size(after)), template)
+    known = known.select("line", F.explode(F.filter(F.array(whole, wide), lambda x: x.isNotNull())).alias("template"))
     known = cut(known.withColumn("key", F.xxhash64("template")))
     seen = near.drop("leaf", "masked").join(known.select("line", "key"), "line")
     if groups is not None:
@@ -84,7 +94,7 @@ def _recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with the recurring lines taken out of their text, and ``n_dropped`` beside it as (row, n_dropped)."""
     near, found = _recurring(docs, id_col, text_col, **options)
-    gone = near.join(found.select("line"), "line").groupBy("id").agg(F.collect_set("line").alias("gone")).hint("shuffle_hash")
+    gone = near.join(found.select("line"), "line", "left_semi").groupBy("id").agg(F.collect_set("line").alias("gone")).hint("shuffle_hash")
     row = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
     joined = docs.select(row).join(gone, F.col(f"row.{id_col}").eqNullSafe(F.col("id")), "left").select("row", "gone")
     text = F.split(F.col(f"row.{text_col}"), "\n")
@@ -134,12 +144,12 @@ def without_recurring_lines(docs: DataFrame) -> DataFrame:
 
     A group of near copies (``near_copies``) counts once for a template, so that lines of a
     text that is only copied, with edits or without, stay whole in all of them, and a later
-    stage can keep one. A masked line that itself recurs goes also where edited variants made its positions fields.
+    stage can keep one.
 
     A null text stays; rows with one id count once; rows without an id count as one document; a document
     that loses every line goes, one without text from the start stays; an empty table gives no rows.
     """
-    rows = drop_recurring_lines(docs, groups=near_copies(docs), whole_lines=True)
+    rows = drop_recurring_lines(docs, groups=near_copies(docs))
     rows = rows.filter((F.col("n_dropped") == 0) | (F.trim(F.regexp_replace("row.text", r"\s+", " ")) != ""))
     return rows.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
@@ -155,13 +165,15 @@ SQL = {"op9_line_templates": f"""
 WITH t AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
 raw AS (SELECT r, doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS p, unnest(string_split(text, chr(10))) AS line FROM t),
 ln AS (SELECT r, doc_id, p, line, {_MASK.format(x='line')} AS m FROM raw),
-u AS (SELECT DISTINCT doc_id, m, len(string_split(m, ' ')) AS k, string_split(m, ' ')[1:3] AS lead FROM ln WHERE m <> ''),
-dm AS (SELECT DISTINCT k, lead, m FROM u),
-tok AS (SELECT DISTINCT k, lead, generate_subscripts(string_split(m, ' '), 1) AS p, unnest(string_split(m, ' ')) AS token FROM dm),
-f AS (SELECT k, lead, list(p) AS fields FROM (SELECT k, lead, p FROM tok GROUP BY ALL HAVING count(*) > 8) GROUP BY k, lead),
-tpl AS (SELECT m, [CASE WHEN list_contains(coalesce(fields, []), i) THEN '<*>' ELSE string_split(m, ' ')[i] END FOR i IN range(1, k + 1)] AS w
-        FROM dm LEFT JOIN f USING (k, lead)),
-ok AS (SELECT m, array_to_string(w, ' ') AS template FROM tpl WHERE len([x FOR x IN w IF x <> '<*>']) >= 0.5 * len(w)),
+u AS (SELECT DISTINCT r, doc_id, m, len(string_split(m, ' ')) AS k, string_split(m, ' ')[1:3] AS lead FROM ln WHERE m <> ''),
+lf AS (SELECT k, lead, count(*) AS total FROM u GROUP BY ALL),
+dm AS (SELECT k, lead, m, count(*) AS n FROM u GROUP BY ALL),
+tok AS (SELECT k, lead, m, n, generate_subscripts(string_split(m, ' '), 1) AS p, unnest(string_split(m, ' ')) AS token FROM dm),
+f AS (SELECT k, lead, p, token FROM tok JOIN lf USING (k, lead) GROUP BY k, lead, p, token, total HAVING sum(n) * 8 >= total),
+tpl AS (SELECT tok.k, m, list(CASE WHEN f.token IS NULL THEN '<*>' ELSE tok.token END ORDER BY tok.p) AS w
+        FROM tok LEFT JOIN f ON tok.k = f.k AND tok.lead = f.lead AND tok.p = f.p AND tok.token = f.token GROUP BY tok.k, tok.lead, m),
+ok AS (SELECT m, array_to_string(w, ' ') AS template FROM tpl WHERE len([x FOR x IN w IF x <> '<*>']) >= 0.5 * k AND len([x FOR x IN w[4:] IF x <> '<*>']) >= 0.5 * (k - 3)
+       UNION SELECT m, m FROM dm WHERE len([x FOR x IN string_split(m, ' ') IF x <> '<*>']) >= 0.5 * k),
 rec AS (SELECT template FROM u JOIN ok USING (m) GROUP BY template HAVING count(DISTINCT doc_id) >= 10),
 gone AS (SELECT DISTINCT m FROM ok JOIN rec USING (template)),
 k AS (SELECT r, count(*) AS n_lines, count(gone.m) AS n_dropped, coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (WHERE gone.m IS NULL), '') AS kept
