@@ -1,7 +1,11 @@
+import itertools
+import re
+import time
 import zlib
 
 import numpy as np
 
+from ticklake.llm import langid
 from ticklake.llm.langid import identify, keep_identified, op8_language_id, train
 
 SF = "/root/testdata/sf0.01"
@@ -59,6 +63,27 @@ def test_numbers_are_no_letters_and_unseen_grams_are_alike(spark):
     assert m.label(["½ ² ①"])[0][1] == 0.0 and np.allclose(m.logp[-1], m.logp[-1, 0])
 
 
+def test_words_are_the_runs_of_letters_of_any_code_point():
+    points = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+    for text in (points, "", "½", "ab½cd² e①_f g3h", "plain words, größe дом"):
+        assert langid.words_of(text) == ["".join(g) for alpha, g in itertools.groupby(text, str.isalpha) if alpha]
+
+
+def test_words_of_plain_text_cost_little_more_than_a_plain_pattern():
+    def least(f):
+        took = []
+        for _ in range(5):
+            began = time.process_time()
+            f()
+            took.append(time.process_time() - began)
+        return min(took)
+
+    text = "the house and the größere garten это дом и сад, 12 words " * 4000
+    plain = least(lambda: re.findall(r"[^\W\d_]+", text))
+    # a pattern that names each number character took 17 times the plain one
+    assert least(lambda: langid.words_of(text)) < 5 * plain
+
+
 def test_defined_cases(spark):
     long = "the house " * 60_000
     rows = [(1, None, "en"), (2, "", None), (3, "12 !!", "en"), (4, "the house and the garden", "en"), (4, "the house and the garden", "en"),

@@ -30,9 +30,7 @@ from pyspark.sql import functions as F
 
 from ticklake.llm.common import cut, table
 
-# characters that count as word characters for their numeric value, such as fractions and circled digits, are no letters
-_NUMBERS = "".join(c for c in map(chr, range(0x110000)) if c.isnumeric() and not c.isalpha())
-_WORD = re.compile(f"[^\\W\\d_{re.escape(_NUMBERS)}]+")
+_RUN = re.compile(r"[^\W\d_]+")
 #: Distinct words that a task keeps at hand before it turns them into trigrams, or drops their scores.
 _REMEMBERED = 300_000
 
@@ -50,6 +48,18 @@ SCRIPTS = sorted({s for _, s in SCRIPT_RANGES})
 _SCRIPT_OF = np.array([SCRIPTS.index(s) for _, s in SCRIPT_RANGES])
 
 
+def words_of(text: str) -> list[str]:
+    """The runs of letters in ``text``.
+
+    The pattern also takes characters with a numeric value, such as fractions and circled digits, which are no letters: a run that
+    holds one is split there. (A pattern that names them all compares each character with hundreds of others.)
+    """
+    runs = _RUN.findall(text)
+    if not runs or "".join(runs).isalpha():
+        return runs
+    return [w for r in runs for w in ([r] if r.isalpha() else "".join(c if c.isalpha() else " " for c in r).split())]
+
+
 def _scripts(words: list[str]) -> np.ndarray:
     first = np.fromiter((ord(w[0]) for w in words), np.int64, len(words))
     return _SCRIPT_OF[np.searchsorted(_STARTS, first, side="right") - 1]
@@ -125,7 +135,7 @@ class LanguageModel:
         if len(self._known) > _REMEMBERED:
             self._known, self._scores, self._sizes = {}, self._scores[:0], self._sizes[:0]
         ids, before = self._known, len(self._known)
-        docs = [np.array([ids.setdefault(w, len(ids)) for w in _WORD.findall(t.lower())] if t else [], np.int64) for t in texts]
+        docs = [np.array([ids.setdefault(w, len(ids)) for w in words_of(t.lower())] if t else [], np.int64) for t in texts]
         if new := list(itertools.islice(ids, before, None)):
             self._scores = np.concatenate([self._scores, self.word_scores(new)])
             self._sizes = np.r_[self._sizes, [len(w) for w in new]]
@@ -161,7 +171,7 @@ def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     for x in batches:
         for lang, text in zip(x["lang"], x["text"]):
-            words.setdefault(lang, Counter()).update(_WORD.findall(text.lower()))
+            words.setdefault(lang, Counter()).update(words_of(text.lower()))
         if sum(map(len, words.values())) > _REMEMBERED:
             count()
     count()
