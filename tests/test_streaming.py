@@ -58,6 +58,30 @@ def test_stream_ingest_matches_batch_and_restart_adds_nothing(spark, workdir):
     assert scan_ticks(spark, table).count() == n
 
 
+def test_event_stream_has_more_files_for_more_events_in_as_many_batches(spark, workdir, monkeypatch):
+    from ticklake.plans import catalog
+
+    monkeypatch.setattr(catalog, "ROWS_A_FILE", 50, raising=False)
+    n = F.col("id")
+    events = spark.range(3100).select(
+        n.alias("event_id"), F.make_timestamp_ntz(F.lit(2024), F.lit(1), (n % 31 + 1).cast("int"), F.lit(1), F.lit(2), F.lit(3)).alias("ts"),
+        (n % 7).alias("user_id"), F.lit("click").alias("event_type"), n.cast("double").alias("value"), F.lit(None).cast("string").alias("props"))
+    events.write.parquet(f"{workdir}/events.parquet")
+    for by_days in (False, True):
+        ids, tasks = [], []
+
+        def keep(batch, _bid):
+            rows = batch.select("event_id", F.spark_partition_id()).collect()
+            ids.extend(r[0] for r in rows)
+            tasks.append(len({r[1] for r in rows}))
+
+        q = (catalog._event_stream(spark, workdir, by_days).writeStream.foreachBatch(keep).trigger(availableNow=True)
+             .option("checkpointLocation", f"{workdir}/c-{by_days}").start())
+        q.awaitTermination(300)
+        assert q.exception() is None and sorted(ids) == list(range(3100))
+        assert len(tasks) == 4 and min(tasks) > 2  # a micro-batch was two tasks, however many events it held
+
+
 def test_replayed_batch_is_idempotent(spark, workdir):
     table, dead = os.path.join(workdir, "t"), os.path.join(workdir, "d")
     raw = messages_from_events(load_events(spark, SF_SMALL).where("day(ts) in (3, 4, 15)"))

@@ -142,17 +142,27 @@ def book_and_ingest_queries() -> dict[str, Callable[[SparkSession, str], DataFra
     }
 
 
-#: Files that the registered streams read, and how many of them make a micro-batch.
+#: Parts that the registered streams read, and how many of them make a micro-batch.
 FILES, FILES_A_BATCH = 8, 2
+#: Rows of a file of such a part, about: a part of more is several files, as one is read by one task.
+ROWS_A_FILE = 50_000
 
 
 def _event_stream(spark: SparkSession, sf_dir: str, by_days: bool = False) -> DataFrame:
-    """``events`` of ``sf_dir`` as a stream of ``FILES`` files, ``FILES_A_BATCH`` a micro-batch: each of some days, or all over the month."""
+    """``events`` of ``sf_dir`` as a stream of ``FILES`` parts, about ``FILES_A_BATCH`` of them a micro-batch: each of some days, or all over the month.
+
+    All parts are as many files, by the number of events; rows without a part are one more.
+    """
     events = load_events(spark, sf_dir)
     path = scratch_path(spark, "event-files")
+    files = max(1, -(-events.count() // (FILES * ROWS_A_FILE)))
     part = F.floor((F.dayofmonth("ts") - 1) * F.lit(FILES) / 31) if by_days else F.pmod("event_id", F.lit(FILES))
-    events.withColumn("part", part).repartition(FILES, "part").write.partitionBy("part").parquet(path)
-    return (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", FILES_A_BATCH).option("recursiveFileLookup", "true").parquet(path))
+    # the number of a file is its task's, so that no two share one and none is split
+    number = F.coalesce(part, F.lit(FILES)) * files + F.pmod(F.xxhash64(*events.columns), F.lit(files))
+    (events.withColumn("part", part).repartitionById((FILES + 1) * files, number.cast("int"))
+     .write.option("maxRecordsPerFile", 0).partitionBy("part").parquet(path))
+    return (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", FILES_A_BATCH * files)
+            .option("recursiveFileLookup", "true").parquet(path))
 
 
 def stream_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
