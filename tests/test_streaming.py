@@ -93,6 +93,17 @@ def test_replayed_batch_is_idempotent(spark, workdir):
     assert scan_ticks(spark, table).count() > n
 
 
+def test_metrics_of_a_batch_without_good_ticks(spark, workdir):
+    undated = '{"type": "ticker", "product_id": "SPY", "price": "1"}'
+    rows = {0: ["{", undated, '{"type": "subscriptions"}'], 1: ['{"type": "subscriptions"}'], 2: []}
+    for batch, values in rows.items():
+        raw = spark.createDataFrame([("SPY", v) for v in values], "key string, value string")
+        ingest_batch(raw, batch, f"{workdir}/t", f"{workdir}/d", f"{workdir}/m")
+    seen = spark.read.schema("processed long, errors long, dropped long, batch string").json(f"{workdir}/m").orderBy("batch").collect()
+    assert [tuple(r)[:3] for r in seen] == [(3, 2, 1), (1, 0, 1), (0, 0, 0)]
+    assert sorted(r["reason"] for r in spark.read.json(f"{workdir}/d").collect()) == ["bad_json", "no_date"]
+
+
 def test_stream_book_matches_batch(spark, workdir):
     src = os.path.join(workdir, "in")
     msgs = _write_messages(spark, src, 3)

@@ -1,7 +1,7 @@
 """SS3: tick stream -> typed Parquet table + dead letters + ingest metrics.
 
 Each micro-batch is validated once (persisted for its two writes; the metrics are
-observed while the ticks are written) and
+observed while the dead letters are written) and
 written with the query's own id and the batch id as the innermost partition
 directory, so that any number of streams can feed one table. The sinks
 use dynamic partition overwrite, so when Spark replays a batch after a
@@ -40,9 +40,10 @@ def ingest_batch(raw: DataFrame, batch_id: int, table_root: str, dead_root: str,
     name = batch_name(batch_id, owner)
     validated = ingest(raw).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        append_ticks(good_ticks(validated), table_root, name)
+        # observed in the job that has no shuffle: if a shuffle turns out empty, adaptive execution drops what was observed before it
         counted, seen = observed(validated)
-        append_ticks(good_ticks(counted), table_root, name)
-        write_dead_letters(dead_letters(validated), dead_root, name)
+        write_dead_letters(dead_letters(counted), dead_root, name)
         if metrics_root:
             (observed_metrics(raw.sparkSession, seen).withColumn("batch", F.lit(name))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
